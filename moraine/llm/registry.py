@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from moraine.llm import decontaminate
+from moraine.llm import decontaminate, quality, sentencepieces
 
-QUERIES: dict = {"op9_benchmark_decontamination": decontaminate.query}
+QUERIES: dict = {
+    "op3_quality_classifier": quality.query,
+    "op7_sentencepiece": sentencepieces.query,
+    "op9_benchmark_decontamination": decontaminate.query,
+}
 ORACLES: dict = {}
