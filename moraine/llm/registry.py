@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from moraine.llm import decontaminate, quality, sentencepieces
+from moraine.llm import decontaminate, pii, quality, sentencepieces
 
 QUERIES: dict = {
+    "op2_pii": pii.query,
     "op3_quality_classifier": quality.query,
     "op7_sentencepiece": sentencepieces.query,
     "op9_benchmark_decontamination": decontaminate.query,
