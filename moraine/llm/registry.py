@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from moraine.llm import decontaminate, pii, quality, sentencepieces
+from moraine.llm import decontaminate, pii, quality, secrets, sentencepieces
 
 QUERIES: dict = {
     "op2_pii": pii.query,
     "op3_quality_classifier": quality.query,
+    "op6_secret_scan": secrets.query,
     "op7_sentencepiece": sentencepieces.query,
     "op9_benchmark_decontamination": decontaminate.query,
 }
