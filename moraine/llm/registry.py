@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from moraine.llm import decontaminate, pii, quality, secrets, sentencepieces
+from moraine.llm import chat, decontaminate, linededup, pii, quality, secrets, sentencepieces
 
 QUERIES: dict = {
     "op2_pii": pii.query,
     "op3_quality_classifier": quality.query,
+    "op4_chat_formatting": chat.query,
     "op6_secret_scan": secrets.query,
     "op7_sentencepiece": sentencepieces.query,
+    "op8_line_dedup": linededup.query,
     "op9_benchmark_decontamination": decontaminate.query,
 }
-ORACLES: dict = {}
+ORACLES: dict = {"op4_chat_formatting": chat.ORACLE}
