@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from moraine.llm import chat, decontaminate, linededup, pii, quality, secrets, sentencepieces
+from moraine.llm import chat, decontaminate, embeddings, linededup, pii, quality, secrets, sentencepieces
 
 QUERIES: dict = {
     "op2_pii": pii.query,
@@ -12,5 +12,6 @@ QUERIES: dict = {
     "op7_sentencepiece": sentencepieces.query,
     "op8_line_dedup": linededup.query,
     "op9_benchmark_decontamination": decontaminate.query,
+    "op10_embedding_near_dedup": embeddings.query,
 }
 ORACLES: dict = {"op4_chat_formatting": chat.ORACLE}
