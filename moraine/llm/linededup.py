@@ -128,5 +128,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = _with(docs, dropped(docs, "doc_id", "text"), "doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    n = F.when(F.col("_no").isNull(), F.lit(0)).otherwise(n).cast("long")
+    n = F.when(F.col("_no").isNull(), F.lit(0)).otherwise(F.size("_no")).cast("long")
     return out.select("doc_id", F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"), n.alias("n_removed"), F.coalesce("_near", F.lit(0)).cast("long").alias("n_near"), F.sha2(kept_text(text), 256).alias("kept_sha256"))
