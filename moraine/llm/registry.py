@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from moraine.llm import chat, decontaminate, embeddings, linededup, pii, quality, secrets, sentencepieces
+from moraine.llm import chat, decontaminate, embeddings, linededup, pii, quality, secrets, sentencepieces, substrings
 
 QUERIES: dict = {
+    "op1_suffix_array_dedup": substrings.query,
     "op2_pii": pii.query,
     "op3_quality_classifier": quality.query,
     "op4_chat_formatting": chat.query,
