@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from moraine.llm import chat, decontaminate, embeddings, linededup, pii, quality, secrets, sentencepieces, substrings
+from moraine.llm import chat, decontaminate, embeddings, jaccard, linededup, pii, quality, secrets, sentencepieces, substrings
 
 QUERIES: dict = {
     "op1_suffix_array_dedup": substrings.query,
     "op2_pii": pii.query,
     "op3_quality_classifier": quality.query,
     "op4_chat_formatting": chat.query,
+    "op5_ngram_jaccard_join": jaccard.query,
     "op6_secret_scan": secrets.query,
     "op7_sentencepiece": sentencepieces.query,
     "op8_line_dedup": linededup.query,
