@@ -36,7 +36,7 @@ GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-PIECE = 1 << 21
+PIECE = 1 << 17
 BROADCAST_ROWS = 300_000
 MOST_L, VERIFY = 8, 20.0
 TURN = np.uint64(0x9DDFEA08EB382D69)
