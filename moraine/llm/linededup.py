@@ -6,7 +6,7 @@ of it: one word replaced, added or left out (a similarity of 0.9 at least, as ed
 
 Plan. Equal lines are first reduced to one row each by a hash aggregate. One edit leaves the first or the last half of the
 words as they are, so only lines that share a half (four hashes a line) go on. Those emit their deletion neighbourhood: a
-hashed key for the line without each of its words. Equal keys are joined through the earliest line of each key, so a key
+hashed key for the line without each of the words in the other half. Equal keys are joined through the earliest line of each key, so a key
 shared by very many lines costs one row a line and no pairs; each partner found is then compared word by word.
 
 Null and empty texts, short lines and an empty table pass unchanged. Repeated rows count as one document and stay alike.
@@ -25,18 +25,26 @@ MIN_WORDS, EDIT_WORDS = 5, 10
 BROADCAST_ROWS = 400_000
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"\s+"), lambda w: w != "")
+BLANK = " \t\x0b\f\r"
 
 
-def halves(w: Column) -> Column:
-    """Hashes of the first and last m div 2 words, for m the number of words and one less."""
+def tidy(text: Column) -> Column:
+    """Lower case, with single spaces between words; only texts with other blanks pay for a regular expression."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    rough = F.contains(low, F.lit("  "))
+    for c in BLANK[1:]:
+        rough |= F.contains(low, F.lit(c))
+    return F.when(rough, F.regexp_replace(low, r"[ \t\x0b\f\r]+", " ")).otherwise(low)
+
+
+def halves(line: Column, n: Column) -> Column:
+    """(tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and one less (2, 3)."""
     out = []
     for less in (0, 1):
-        m = F.size(w) - less
-        h = F.floor(m / 2).cast("int")
-        out += [F.xxhash64(m, F.lit(0), F.slice(w, 1, h)), F.xxhash64(m, F.lit(1), F.slice(w, F.size(w) - h + 1, h))]
-    return F.array_distinct(F.array(*out))
+        h = F.floor((n - less) / 2).cast("int")
+        ends = (F.call_function("substring_index", line, F.lit(" "), h), F.call_function("substring_index", line, F.lit(" "), -h))
+        out += [F.struct(F.lit(2 * less + i).alias("tag"), F.xxhash64(n - less, F.lit(i), e).alias("k")) for i, e in enumerate(ends)]
+    return F.array(*out)
 
 
 def running_xor(values: Column) -> Column:
@@ -55,16 +63,29 @@ def running_xor(values: Column) -> Column:
 
 
 def neighbourhood(lines: DataFrame) -> DataFrame:
-    """(at, kind, key) of every variant of rows (at, n, w): S one word replaced at a place, D one word left out, O the line itself."""
-    d = lines.select("at", "n", F.transform("w", lambda w, j: F.xxhash64(w, j)).alias("h"), F.transform("w", lambda w, j: F.xxhash64(w, j - 1)).alias("s"))
-    d = d.select("at", "n", "h", "s", running_xor(F.col("h")).alias("ph"), running_xor(F.col("s")).alias("ps"))
+    """(at, kind, key) of the variants of rows (at, n, w, tags): S one word replaced at a place, D one word left out, O the line itself.
+
+    tags tells which halves are shared with a line of as many words, or of one word less; a variant is emitted only where
+    the edit can then be.
+    """
+    d = lines.select("at", "n", "tags", F.transform("w", lambda w, j: F.xxhash64(w, j)).alias("h"), F.transform("w", lambda w, j: F.xxhash64(w, j - 1)).alias("s"))
+    d = d.select("at", "n", "tags", "h", "s", running_xor(F.col("h")).alias("ph"), running_xor(F.col("s")).alias("ps"))
     total, shifted = F.element_at("ph", -1), F.element_at("ps", -1)
-    kept = F.zip_with("h", "ph", lambda h, p: p.bitwiseXOR(h))  # of the words before each place
-    after = F.transform("ps", lambda p: p.bitwiseXOR(shifted))  # of the words behind it, moved up by one
-    replaced = F.transform("h", lambda h, i: F.struct(F.lit("S").alias("kind"), F.xxhash64(F.lit("S"), F.col("n"), i, h.bitwiseXOR(total)).alias("key")))
-    left_out = F.transform(F.array_distinct(F.zip_with(kept, after, lambda a, b: a.bitwiseXOR(b))), lambda x: F.struct(F.lit("D").alias("kind"), F.xxhash64(F.col("n") - 1, x).alias("key")))
-    itself = F.array(F.struct(F.lit("O").alias("kind"), F.xxhash64(F.col("n"), total).alias("key")))
-    return d.select("at", F.explode(F.concat(replaced, left_out, itself)).alias("x")).select("at", "x.kind", "x.key")
+
+    def open_(i, less):
+        has = lambda tag: F.col("tags").bitwiseAND(1 << tag) != 0
+        h = F.floor((F.col("n") - less) / 2)
+        return (has(2 * less) & (i >= h)) | (has(2 * less + 1) & (i < F.col("n") - h))
+
+    places = F.sequence(F.lit(0), F.col("n") - 1)
+    replaced = F.transform(F.filter(places, lambda i: open_(i, 0)), lambda i: F.struct(F.lit(0).alias("kind"), F.xxhash64(F.lit(0), F.col("n"), i, F.get("h", i).bitwiseXOR(total)).alias("key")))
+    # words before a place as they stand, and the words behind it moved up by one
+    without = lambda i: F.get("ph", i).bitwiseXOR(F.get("h", i)).bitwiseXOR(F.get("ps", i)).bitwiseXOR(shifted)
+    left_out = F.transform(F.array_distinct(F.transform(F.filter(places, lambda i: open_(i, 1)), without)), lambda x: F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, x).alias("key")))
+    itself = F.array(F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(1), F.col("n"), total).alias("key")))
+    d = d.withColumns({"replaced": F.when(F.col("tags").bitwiseAND(3) != 0, replaced), "left": F.when(F.col("tags").bitwiseAND(12) != 0, left_out), "itself": itself})
+    none = F.expr("cast(array() as array<struct<kind:int,key:bigint>>)")
+    return d.select("at", F.explode(F.concat(F.coalesce("replaced", none), F.coalesce("left", none), "itself")).alias("x")).select("at", "x.kind", "x.key")
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -78,22 +99,27 @@ def within_one(a: Column, b: Column) -> Column:
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)).alias("no", "line"))
-    return rows.select(F.struct("did", "no", "th").alias("at"), words_of(F.col("line")).alias("w"))
+    """(did, th, no, line): lines in lower case with single spaces."""
+    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), tidy(F.col(text)).alias("t"))
+    return rows.select("did", "th", F.posexplode(F.split("t", "\n", -1)).alias("no", "line")).select("did", "th", "no", F.trim("line").alias("line"))
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, edit_words: int = EDIT_WORDS) -> DataFrame:
     """(at, near) of the lines to leave out; at is (did, no, th), near tells edits from exact copies."""
-    lines = numbered(docs, doc_id, text).where(F.size("w") >= min_words)
-    lines = stored(lines.select("at", F.size("w").alias("n"), F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), F.when(F.size("w") >= edit_words, halves(F.col("w"))).alias("ks")), "lines")
+    lines = numbered(docs, doc_id, text).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1).where(F.col("n") >= min_words)
+    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.when(F.col("n") >= edit_words, halves(F.col("line"), F.col("n"))).alias("ks")), "lines")
     each = stored(lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("copies"), F.first("ks").alias("ks")), "each")
-    keyed = each.where("ks is not null").select("at", F.explode("ks").alias("k"))
-    shared = stored(keyed.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k"), "halves")
-    suspects = stored(keyed.join(shared, "k", "left_semi").select("at").distinct(), "suspects")
-    chosen = stored(numbered(docs, doc_id, text).join(small(suspects, BROADCAST_ROWS), "at", "left_semi").select("at", F.size("w").alias("n"), "w").dropDuplicates(["at"]), "chosen")
+    keyed = each.where("ks is not null").select("at", F.explode("ks").alias("x")).select("at", "x.tag", "x.k")
+    shared = stored(keyed.groupBy("k").agg(F.count_distinct("at").alias("c")).where("c > 1").select("k"), "halves")
+    suspects = keyed.join(shared, "k", "left_semi").groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("tag"))).alias("tags"))
+    suspects = stored(suspects.select("at.*", "tags"), "suspects")
+    few = small(suspects, BROADCAST_ROWS).alias("s")
+    at = F.col("l.did").eqNullSafe(F.col("s.did")) & (F.col("l.no") == F.col("s.no")) & (F.col("l.th") == F.col("s.th"))
+    chosen = numbered(docs, doc_id, text).alias("l").join(few, at).select(F.struct("l.did", "l.no", "l.th").alias("at"), "tags", "line").dropDuplicates(["at"])
+    chosen = stored(chosen.select("at", "tags", F.split("line", " ").alias("w")).select("at", "tags", "w", F.size("w").alias("n")), "chosen")
     keys = stored(neighbourhood(chosen), "keys")
-    least = keys.groupBy("key").agg(*(F.min(F.when(F.col("kind") == k, F.col("at"))).alias(k) for k in "SDO"), F.count("*").alias("c")).where("c > 1").drop("c")
-    partner = F.when(F.col("kind") == "S", F.col("S")).when(F.col("kind") == "D", F.col("O")).otherwise(F.col("D"))
+    least = keys.groupBy("key").agg(*(F.min(F.when(F.col("kind") == k, F.col("at"))).alias(name) for k, name in enumerate("SDO")), F.count("*").alias("c")).where("c > 1").drop("c")
+    partner = F.when(F.col("kind") == 0, F.col("S")).when(F.col("kind") == 1, F.col("O")).otherwise(F.col("D"))
     pairs = keys.join(stored(least, "least"), "key").select("at", partner.alias("to")).where(F.col("to") < F.col("at")).distinct()
     pairs = pairs.join(chosen.select("at", F.col("w").alias("a")), "at").join(chosen.select(F.col("at").alias("to"), F.col("w").alias("b")), "to")
     near = stored(pairs.where(within_one(F.col("a"), F.col("b"))).select("at").distinct(), "near")
