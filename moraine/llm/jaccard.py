@@ -3,10 +3,11 @@
 A document's set holds the hashes (64 bit) of its distinct word shingles. Two sets link when 100 * shared >= percent * union.
 Documents with equal sets are first reduced to one class.
 
-1. Admission. Under any fixed order of tokens, linked sets share one of their first n - ceil(t n) + 1 tokens. In the order
-   of hash values a class whose prefix tokens are all its own links with nothing; the others go on.
+1. Admission. Under any fixed order of tokens, linked sets share l of their first n - ceil(t n) + l tokens. In the order of
+   hash values, with l so large that this is half of them, a class with fewer tokens there that any other class has links
+   with nothing; the rest go on.
 2. Frequencies of the admitted classes' tokens are counted exactly, in blocks of hash values, and go back to the classes.
-   The order is now (frequency, hash).
+   Those with fewer shared tokens than a link needs end here. The order is now (frequency, hash).
 3. Adaptive prefixes. A prefix of n - ceil(t n) + l tokens must share l tokens with that of a linked set. For each class l is
    chosen so that postings + verification * postings / l is least: the longer the prefix, the more matches are demanded
    before a pair is verified (of two classes, the smaller l).
@@ -79,107 +80,158 @@ def prefix(n: int, percent: int, matches: int = 1) -> int:
     return min(n, n - -(-percent * n // 100) + matches)
 
 
-def summarised(docs: DataFrame, doc_id: str, text: str, words: int, percent: int) -> DataFrame:
-    """did, th, n, key (of the set; null for none), pre (prefix tokens in hash order) of each row, stored."""
+def summarised(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """did, th, n, key (of the set; null for none) of each row, stored."""
     kept = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     kind = dict(kept.dtypes)["did"]
 
     def run(batches):
         for batch in batches:
-            n, key, pre = [], [], []
+            n, key = [], []
             for s in sets(batch["t"], words):
                 n.append(len(s))
                 key.append(int(mix(np.array([s.sum(dtype=np.uint64) ^ mix(np.bitwise_xor.reduce(mix(s + TURN))[None])[0]])).view(np.int64)[0]) if len(s) else None)
-                pre.append(s[: prefix(len(s), percent)].view(np.int64))
-            sizes = np.array([len(p) for p in pre], np.int64)
-            flat_ = np.concatenate(pre) if pre else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat_))
-            yield pa.RecordBatch.from_arrays([batch["did"], batch["th"], pa.array(n, pa.int64()), pa.array(key, pa.int64()), lists], ["did", "th", "n", "key", "pre"])
+            yield pa.RecordBatch.from_arrays([batch["did"], batch["th"], pa.array(n, pa.int64()), pa.array(key, pa.int64())], ["did", "th", "n", "key"])
 
-    return stored(kept.mapInArrow(run, f"did {kind}, th long, n long, key long, pre array<long>"), "sets")
+    return stored(kept.mapInArrow(run, f"did {kind}, th long, n long, key long"), "sets")
 
 
-def admitted(rows: DataFrame) -> DataFrame:
-    """(key, n, did, th) of classes that share a prefix token; did and th name one of their documents."""
-    first = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("at"))
-    first = stored(first.select("key", "at.did", "at.th"), "classes")
-    r, c = rows.alias("r"), first.alias("c")
-    reps = r.join(c, (F.col("r.key") == F.col("c.key")) & F.col("r.did").eqNullSafe(F.col("c.did")) & (F.col("r.th") == F.col("c.th"))).select("r.key", "r.n", "r.did", "r.th", "r.pre")
-    reps = stored(reps, "reps")
-    post = reps.select("key", F.explode("pre").alias("token"))
-    shared = post.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("token")
-    keys = post.join(shared, "token", "left_semi").select("key").distinct()
-    return stored(reps.drop("pre").join(keys, "key", "left_semi").dropDuplicates(["key"]), "admitted")
+def dealt(texts: DataFrame, words: int, blocks: int, take) -> DataFrame:
+    """(block, keys, doc, t): tokens take(set) of rows (key, t), by blocks of hash values; a row holds up to a million tokens.
 
+    keys are the classes of a row, doc tells each token's class by its place there.
+    """
 
-def tokens_of(docs: DataFrame, who: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(key, n, s): all tokens of the admitted classes as sorted 64-bit words, stored."""
-    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
-    got = rows.join(small(who, BROADCAST_ROWS).alias("w"), F.col("d.did").eqNullSafe(F.col("w.did")) & (F.col("d.th") == F.col("w.th"))).select("w.key", "t")
+    def rows(own, keys):
+        sizes = np.array([len(x) for x in own])
+        t = np.concatenate(own) if len(own) else np.zeros(0, np.uint64)
+        doc = np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
+        block = ((t >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        t, doc, edge = t[order], doc[order], np.searchsorted(block[order], np.arange(blocks + 1))
+        out = {"block": [], "keys": [], "doc": [], "t": []}
+        for b in np.flatnonzero(np.diff(edge)):
+            x, y = edge[b], edge[b + 1]
+            used, local = np.unique(doc[x:y], return_inverse=True)
+            for name, v in (("block", int(b)), ("keys", keys[used].tobytes()), ("doc", local.astype(np.uint16).tobytes()), ("t", t[x:y].tobytes())):
+                out[name].append(v)
+        return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("keys", "doc", "t"))], ["block", "keys", "doc", "t"])
 
     def run(batches):
+        held, who, size = [], [], 0
         for batch in batches:
-            own = list(sets(batch["t"], words))
-            yield pa.RecordBatch.from_arrays([batch["key"], pa.array([len(s) for s in own], pa.int64()), pa.array([s.tobytes() for s in own], pa.binary())], ["key", "n", "s"])
-
-    return stored(got.mapInArrow(run, "key long, n long, s binary").dropDuplicates(["key"]), "tokens")
-
-
-def postings(tokens: DataFrame, percent: int, blocks: int, most: int = MOST_L, verify: float = VERIFY) -> DataFrame:
-    """(token, key, n, l): the adaptive prefix of each class, less tokens that no other class has. Stored."""
-    shift = np.uint64(64 - 32)
-
-    def deal(batches):  # tokens by blocks of hash values; one row a batch and block
-        for batch in batches:
-            raw = batch["s"].to_pylist()
-            sizes = np.array([len(x) // 8 for x in raw])
-            flat_ = np.frombuffer(b"".join(raw), np.uint64)
-            at = 0
-            while at < len(sizes):  # at most 65,536 classes and about a million tokens a row set
-                to = max(at + 1, min(at + 65536, int(np.searchsorted(np.cumsum(sizes[at:]), 1 << 20)) + at))
-                a = int(sizes[:at].sum())
-                t = flat_[a : a + int(sizes[at:to].sum())]
-                doc = np.repeat(np.arange(to - at, dtype=np.uint16), sizes[at:to])
-                block = ((t >> shift) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
-                t, doc, edge = t[order], doc[order], np.searchsorted(block[order], np.arange(blocks + 1))
-                keys = batch["key"].to_numpy()[at:to]
-                out = {"block": [], "keys": [], "doc": [], "t": []}
-                for b in np.flatnonzero(np.diff(edge)):
-                    x, y = edge[b], edge[b + 1]
-                    used, local = np.unique(doc[x:y], return_inverse=True)
-                    for name, v in (("block", int(b)), ("keys", keys[used].tobytes()), ("doc", local.astype(np.uint16).tobytes()), ("t", t[x:y].tobytes())):
-                        out[name].append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("keys", "doc", "t"))], ["block", "keys", "doc", "t"])
-                at = to
-
-    def count(tab: pa.Table) -> pa.Table:  # classes' tokens of one block with their frequencies, where over 1
-        keys = [np.frombuffer(x, np.int64) for x in tab["keys"].to_pylist()]
-        base = np.r_[0, np.cumsum([len(k) for k in keys])]
-        doc = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + base[i] for i, x in enumerate(tab["doc"].to_pylist())])
-        t = np.frombuffer(b"".join(tab["t"].to_pylist()), np.uint64)
-        order = np.argsort(t, kind="stable")
-        t, doc = t[order], doc[order]
-        new = np.r_[True, t[1:] != t[:-1]]
-        df = np.diff(np.r_[np.flatnonzero(new), len(t)])[np.cumsum(new) - 1]
-        keep = df > 1
-        t, doc, df = t[keep], doc[keep], np.minimum(df[keep], 2**31 - 1).astype(np.int32)
-        order = np.argsort(doc, kind="stable")
-        t, doc, df = t[order], doc[order], df[order]
+            for key, s in zip(batch["key"].to_pylist(), sets(batch["t"], words), strict=True):
+                s = take(s)
+                held.append(s)
+                who.append(key)
+                size += len(s)
+                if size >= 1 << 20 or len(held) == 65536:
+                    yield rows(held, np.array(who, np.int64))
+                    held, who, size = [], [], 0
+        if held:
+            yield rows(held, np.array(who, np.int64))
+
+    return texts.mapInArrow(run, "block int, keys binary, doc binary, t binary")
+
+
+def shared(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, doc, token, frequency) of a block's tokens that more than one class has, by class, then token; key is by doc."""
+    keys = [np.frombuffer(x, np.int64) for x in tab["keys"].to_pylist()]
+    base = np.r_[0, np.cumsum([len(k) for k in keys])]
+    doc = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + base[i] for i, x in enumerate(tab["doc"].to_pylist())])
+    t = np.frombuffer(b"".join(tab["t"].to_pylist()), np.uint64)
+    order = np.argsort(t, kind="stable")
+    t, doc = t[order], doc[order]
+    new = np.r_[True, t[1:] != t[:-1]]
+    df = np.diff(np.r_[np.flatnonzero(new), len(t)])[np.cumsum(new) - 1]
+    keep = df > 1
+    t, doc, df = t[keep], doc[keep], np.minimum(df[keep], 2**31 - 1).astype(np.int32)
+    order = np.argsort(doc, kind="stable")
+    return np.concatenate(keys), doc[order], t[order], df[order]
+
+
+def blocks_for(tokens: int) -> int:
+    """A block has about a million tokens."""
+    return max(1, min(1 << 24, -(-int(tokens) // 1_000_000)))
+
+
+def half(n: int, percent: int) -> int:
+    """Tokens looked at for admission: so many that about half of them must be shared."""
+    return prefix(n, percent, n - -(-percent * n // 100) + 1)
+
+
+def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(texts, known): (key, t) of a document of each class of which enough of the first tokens are some other class's, and (key, n) of those classes."""
+    first = stored(rows.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("at"), F.count("*").alias("c"), F.first("n").alias("n")), "classes")
+    total = first.agg(F.sum("n")).first()[0] or 0
+    r, c = rows.alias("r"), first.where("c > 1").alias("c")
+    copies = r.join(c, F.col("r.key") == F.col("c.key")).where(~(F.col("r.did").eqNullSafe(F.col("c.at.did")) & (F.col("r.th") == F.col("c.at.th")))).select("r.did", "r.th").distinct()
+    none = rows.where("key is null").select("did", "th").distinct()
+    out_ = stored(copies.unionByName(none), "copies").alias("o")
+    mine = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
+    same = lambda x: F.col("d.did").eqNullSafe(F.col(f"{x}.did")) & (F.col("d.th") == F.col(f"{x}.th"))
+    reps = mine.join(small(out_, BROADCAST_ROWS), same("o"), "left_anti")
+    ids = reps.select(F.xxhash64("did", "th").alias("key"), "t")  # a row's own number until its class is looked up
+
+    def count(tab: pa.Table) -> pa.Table:
+        key, doc, t, _ = shared(tab)
+        c = np.bincount(doc, minlength=len(key))
+        return pa.table({"key": key[c > 0], "c": c[c > 0]})
+
+    seen = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    ranked = first.select(F.xxhash64("at.did", "at.th").alias("id"), "key", "n", "at.did", "at.th")
+    m = F.least(F.col("n"), 2 * (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)) + 1)
+    enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= m - (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)))
+    who = stored(enough.select("did", "th", "key", "n").dropDuplicates(["key"]), "admitted")
+    texts = mine.join(small(who, BROADCAST_ROWS).alias("w"), same("w")).select("w.key", "t")
+    return texts, who.select("key", "n")
+
+
+def frequencies(texts: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
+    """(key, n, s, df): the tokens of each class that others have too, with their frequencies, where they suffice for a link. Stored."""
+    total = known.agg(F.sum("n")).first()[0] or 0
+
+    def count(block: tuple, tab: pa.Table) -> pa.Table:
+        key, doc, t, df = shared(tab)
         used = np.unique(doc)
         lo, hi = np.searchsorted(doc, used), np.searchsorted(doc, used, "right")
-        own = np.concatenate(keys)[used]
-        return pa.table({"key": own, "t": pa.array([t[a:b].tobytes() for a, b in zip(lo, hi, strict=True)], pa.binary()), "df": pa.array([df[a:b].tobytes() for a, b in zip(lo, hi, strict=True)], pa.binary())})
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(lo, hi, strict=True)], pa.binary())
+        return pa.table({"block": pa.repeat(block[0], len(used)), "key": key[used], "t": cut(t), "df": cut(df)})
+
+    def join(batches):
+        for batch in batches:
+            s, df = ([b"".join(x) for x in batch[c].to_pylist()] for c in ("t", "df"))
+            for i in range(len(s)):
+                t = np.frombuffer(s[i], np.uint64)
+                if (t[1:] <= t[:-1]).any():  # the class's document is there more than once
+                    t, at = np.unique(t, return_index=True)
+                    s[i], df[i] = t.tobytes(), np.frombuffer(df[i], np.int32)[at].tobytes()
+            yield pa.RecordBatch.from_arrays([batch["key"], batch["n"], pa.array(s, pa.binary()), pa.array(df, pa.binary())], ["key", "n", "s", "df"])
+
+    # blocks are ranges of the hash, so parts in the order of blocks are in the order of tokens
+    got = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(count, "block int, key long, t binary, df binary")
+    per = got.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("block", "t", "df"))).alias("x")).select("key", F.col("x.t").alias("t"), F.col("x.df").alias("df"))
+    many = F.aggregate("t", F.lit(0), lambda acc, x: acc + F.length(x)) / 8
+    return stored(known.join(per, "key").where(100 * many >= percent * F.col("n")).mapInArrow(join, "key long, n long, s binary, df binary"), "tokens")
+
+
+def postings(tokens: DataFrame, percent: int, most: int = MOST_L, verify: float = VERIFY) -> DataFrame:
+    """(token, key, n, l): the adaptive prefix of each class, less tokens that no other class has. Stored."""
 
     def choose(batches):
         for batch in batches:
             out_t, out_k, out_n, out_l = [], [], [], []
-            for key, n, ts, dfs in zip(*(batch[c].to_pylist() for c in ("key", "n", "t", "df")), strict=True):
-                t, df = np.frombuffer(b"".join(ts), np.uint64), np.frombuffer(b"".join(dfs), np.int32).astype(np.int64)
+            for key, n, s, dfs in zip(*(batch[c].to_pylist() for c in ("key", "n", "s", "df")), strict=True):
+                t, df = np.frombuffer(s, np.uint64), np.frombuffer(dfs, np.int32).astype(np.int64)
                 order = np.lexsort((t, df))
                 cost = np.r_[0, np.cumsum(df[order] - 1)]
                 alone = n - len(t)
-                best = min((float(cost[k]) * (1 + verify / l), l, k) for l in range(1, most + 1) if l == 1 or prefix(n, percent, l) > prefix(n, percent, l - 1) for k in [max(0, prefix(n, percent, l) - alone)])
+                best = None
+                for l in range(1, most + 1):
+                    if l > 1 and prefix(n, percent, l) == prefix(n, percent, l - 1):
+                        break  # the whole set: no more matches may be demanded
+                    k = max(0, prefix(n, percent, l) - alone)
+                    best = min(best or (np.inf,), (float(cost[k]) * (1 + verify / l), l, k))
                 k = best[2]
                 out_t.append(t[order[:k]].view(np.int64))
                 out_k.append(np.full(k, key))
@@ -188,10 +240,7 @@ def postings(tokens: DataFrame, percent: int, blocks: int, most: int = MOST_L, v
             cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cat(x)) for x in (out_t, out_k, out_n, out_l)], ["token", "key", "n", "l"])
 
-    dealt = tokens.select("key", "s").mapInArrow(deal, "block int, keys binary, doc binary, t binary")
-    counted = dealt.groupBy("block").applyInArrow(count, "key long, t binary, df binary")
-    per = counted.groupBy("key").agg(F.collect_list(F.struct("t", "df")).alias("x")).select("key", F.col("x.t").alias("t"), F.col("x.df").alias("df"))
-    return stored(tokens.select("key", "n").join(per, "key").mapInArrow(choose, "token long, key long, n long, l long"), "postings")
+    return stored(tokens.mapInArrow(choose, "token long, key long, n long, l long"), "postings")
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -199,22 +248,27 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     split = F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / 1000))
     pairs = stored(pairs, "pairs")
     sizes = stored(pairs.groupBy("a").agg(F.count("*").alias("c")), "sizes")
-    right = pairs.join(sizes, "a").select("a", split.alias("part"), "b").join(tokens.select(F.col("key").alias("b"), "s"), "b").select("a", "part", F.col("b").alias("key"), "s", F.lit(False).alias("own"))
-    left = sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("c") / 1000) - 1)).alias("part")).join(tokens.select(F.col("key").alias("a"), "s"), "a").select("a", "part", F.col("a").alias("key"), "s", F.lit(True).alias("own"))
+    cut = stored(pairs.join(sizes, "a").select("a", split.alias("part"), F.col("b").alias("key")), "cut")
+    heads = stored(sizes.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("c") / 1000) - 1)).alias("part")), "heads")
+    sets_ = tokens.select("key", "n", "s")
+    right = sets_.join(small(cut, BROADCAST_ROWS), "key").select("a", "part", "key", "n", "s", F.lit(False).alias("own"))
+    left = sets_.join(small(heads, BROADCAST_ROWS), "key").select(F.col("key").alias("a"), "part", "key", "n", "s", F.lit(True).alias("own"))
 
     def test(tab: pa.Table) -> pa.Table:
         own = tab["own"].to_numpy()
+        if own.all():  # a part that no pair fell into
+            return tab.select(["a", "key"]).rename_columns(["a", "b"]).slice(0, 0)
         hub = int(np.flatnonzero(own)[0])
         rows = np.flatnonzero(~own)
-        raw = tab["s"].to_pylist()
+        raw, n = tab["s"].to_pylist(), tab["n"].to_numpy()
         base = np.frombuffer(raw[hub], np.uint64)
-        n = np.array([len(raw[i]) // 8 for i in rows], np.int64)
+        size = np.array([len(raw[i]) // 8 for i in rows], np.int64)
         other = np.frombuffer(b"".join(raw[i] for i in rows), np.uint64)
         at = np.minimum(np.searchsorted(base, other), len(base) - 1)
         hit = np.r_[0, np.cumsum(base[at] == other)]
-        ends = np.cumsum(n)
-        shared = hit[ends] - hit[ends - n]
-        ok = 100 * shared >= percent * (n + len(base) - shared)
+        ends = np.cumsum(size)
+        both = hit[ends] - hit[ends - size]
+        ok = 100 * both >= percent * (n[rows] + n[hub] - both)
         return pa.table({"a": tab["a"].take(pa.array(rows[ok])), "b": tab["key"].take(pa.array(rows[ok]))})
 
     return stored(left.unionByName(right).groupBy("a", "part").applyInArrow(test, "a long, b long"), "links")
@@ -222,11 +276,10 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows, roots): rows (did, th, n, key) of every document, roots (key, root) of classes linked to others."""
-    rows = summarised(docs, doc_id, text, words, percent)
-    who = admitted(rows)
-    tokens = tokens_of(docs, who, doc_id, text, words)
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    post = postings(tokens, percent, max(1, min(65536, -(-total // 2_000_000))))
+    rows = summarised(docs, doc_id, text, words)
+    texts, known = admitted(docs, rows, doc_id, text, words, percent)
+    tokens = frequencies(texts, known, words, percent)
+    post = postings(tokens, percent)
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
     edges, roots = None, None
     for pick in (F.min, F.max):
