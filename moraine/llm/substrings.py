@@ -37,7 +37,6 @@ from moraine.llm.textbytes import flat, mix, powers, prefix_hash, span_hash
 
 SIZE, GRAM = 200, 50
 PIECE = 1 << 17
-BROADCAST_ROWS = 300_000
 LOW = np.uint64((1 << 24) - 1)
 
 
@@ -124,9 +123,8 @@ def row_is(a: str, b: str) -> Column:
 def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(mh, sh, nw, pd, ps, body): bytes of the wanted segments (did, th, mh, sh, st, nw), cut from their documents."""
     lists = stored(wanted.groupBy("did", "th").agg(F.collect_list(F.struct("mh", "sh", "st", "nw")).alias("s")), "lists")
-    few = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     rows = docs.select(F.col(doc_id).alias("did"), F.hash(text).alias("th"), F.col(text).alias("t")).alias("d")
-    got = rows.join((F.broadcast(lists) if few else lists).alias("l"), row_is("d", "l")).select("d.did", "d.th", "t", "s")
+    got = rows.join(lists.alias("l"), row_is("d", "l")).select("d.did", "d.th", "t", "s")
     kind = dict(got.dtypes)["did"]
 
     def run(batches):
@@ -239,8 +237,7 @@ def merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _with(docs: DataFrame, cover: DataFrame, doc_id: str, text: str) -> DataFrame:
-    few = cover.agg(F.sum(F.size("s"))).first()[0] or 0
-    side = (F.broadcast(cover) if few <= BROADCAST_ROWS else cover).select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("s").alias("_s"))
+    side = cover.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("s").alias("_s"))
     return docs.join(side, F.col(doc_id).eqNullSafe(F.col("_did")) & (F.hash(text) == F.col("_th")), "left").drop("_did", "_th")
 
 
