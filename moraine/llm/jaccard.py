@@ -11,10 +11,11 @@ Documents with equal sets are first reduced to one class.
 3. Adaptive prefixes. A prefix of n - ceil(t n) + l tokens must share l tokens with that of a linked set. For each class l is
    chosen so that postings + verification * postings / l is least: the longer the prefix, the more matches are demanded
    before a pair is verified (of two classes, the smaller l).
-4. Verification in rounds. In two rounds each posting list ties its members to one of them (least, then greatest), which
-   costs one pair a posting. Lists within one component are then done with; of the rest all pairs between components with
-   enough shared prefix tokens are verified. So a group of copies is joined without its pairs, and no link between
-   components is missed.
+4. Verification in rounds. In two rounds each posting list ties its members to one of them (that with the smallest share
+   of tokens of its own, then any), which costs one pair a posting. Lists within one component are then done with; of the
+   rest all pairs between components are verified that share enough prefix tokens and whose parity sketches, which bound
+   the number of differing tokens from below, allow a link. So a group of copies is joined without its pairs, pairs that
+   narrowly miss give no rows, and no link between components is missed.
 
 Null and empty texts and texts without words have empty sets and link with nothing; a text of fewer words than a shingle
 is one shingle. Repeated rows are separate documents of one class. Null ids take the component's least id that is not
@@ -39,7 +40,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PIECE = 1 << 17
 BROADCAST_ROWS = 300_000
-MOST_L, VERIFY = 8, 20.0
+MOST_L, VERIFY, SKETCH = 8, 20.0, 8
 TURN = np.uint64(0x9DDFEA08EB382D69)
 
 
@@ -155,6 +156,15 @@ def blocks_for(tokens: int) -> int:
     return max(1, min(1 << 24, -(-int(tokens) // 1_000_000)))
 
 
+def shards(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places) of keys by their number modulo n, for what a block sends back in a row a shard."""
+    own = (key.view(np.uint64) % np.uint64(n)).astype(np.int64)
+    order = np.argsort(own, kind="stable")
+    edge = np.searchsorted(own[order], np.arange(n + 1))
+    for i in np.flatnonzero(np.diff(edge)):
+        yield int(i), order[edge[i] : edge[i + 1]]
+
+
 def half(n: int, percent: int) -> int:
     """Tokens looked at for admission: so many that about half of them must be shared."""
     return prefix(n, percent, n - -(-percent * n // 100) + 1)
@@ -173,12 +183,21 @@ def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: in
     reps = mine.join(small(out_, BROADCAST_ROWS), same("o"), "left_anti")
     ids = reps.select(F.xxhash64("did", "th").alias("key"), "t")  # a row's own number until its class is looked up
 
+    parts = blocks_for(total / 20)
+
     def count(tab: pa.Table) -> pa.Table:
         key, doc, t, _ = shared(tab)
-        c = np.bincount(doc, minlength=len(key))
-        return pa.table({"key": key[c > 0], "c": c[c > 0]})
+        c = np.bincount(doc, minlength=len(key)).astype(np.int32)
+        key, c = key[c > 0], c[c > 0]
+        rows_ = [(i, key[at].tobytes(), c[at].tobytes()) for i, at in shards(key, parts)]
+        return pa.table({n: pa.array([r[k] for r in rows_], kind) for k, (n, kind) in enumerate((("shard", pa.int32()), ("keys", pa.binary()), ("c", pa.binary())))})
+
+    def add(tab: pa.Table) -> pa.Table:
+        key, at = np.unique(np.frombuffer(b"".join(tab["keys"].to_pylist()), np.int64), return_inverse=True)
+        return pa.table({"key": key, "c": np.bincount(at, np.frombuffer(b"".join(tab["c"].to_pylist()), np.int32), minlength=len(key)).astype(np.int64)})
 
-    seen = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    counted = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(count, "shard int, keys binary, c binary")
+    seen = counted.groupBy("shard").applyInArrow(add, "key long, c long")
     ranked = first.select(F.xxhash64("at.did", "at.th").alias("id"), "key", "n", "at.did", "at.th")
     m = F.least(F.col("n"), 2 * (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)) + 1)
     enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= m - (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)))
@@ -190,37 +209,42 @@ def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: in
 def frequencies(texts: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
     """(key, n, s, df): the tokens of each class that others have too, with their frequencies, where they suffice for a link. Stored."""
     total = known.agg(F.sum("n")).first()[0] or 0
+    parts = blocks_for(total)
 
-    def count(block: tuple, tab: pa.Table) -> pa.Table:
+    def count(tab: pa.Table) -> pa.Table:
         key, doc, t, df = shared(tab)
         used = np.unique(doc)
         lo, hi = np.searchsorted(doc, used), np.searchsorted(doc, used, "right")
-        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(lo, hi, strict=True)], pa.binary())
-        return pa.table({"block": pa.repeat(block[0], len(used)), "key": key[used], "t": cut(t), "df": cut(df)})
-
-    def join(batches):
-        for batch in batches:
-            s, df = ([b"".join(x) for x in batch[c].to_pylist()] for c in ("t", "df"))
-            for i in range(len(s)):
-                t = np.frombuffer(s[i], np.uint64)
-                if (t[1:] <= t[:-1]).any():  # the class's document is there more than once
-                    t, at = np.unique(t, return_index=True)
-                    s[i], df[i] = t.tobytes(), np.frombuffer(df[i], np.int32)[at].tobytes()
-            yield pa.RecordBatch.from_arrays([batch["key"], batch["n"], pa.array(s, pa.binary()), pa.array(df, pa.binary())], ["key", "n", "s", "df"])
-
-    # blocks are ranges of the hash, so parts in the order of blocks are in the order of tokens
-    got = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(count, "block int, key long, t binary, df binary")
-    per = got.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("block", "t", "df"))).alias("x")).select("key", F.col("x.t").alias("t"), F.col("x.df").alias("df"))
-    many = F.aggregate("t", F.lit(0), lambda acc, x: acc + F.length(x)) / 8
-    return stored(known.join(per, "key").where(100 * many >= percent * F.col("n")).mapInArrow(join, "key long, n long, s binary, df binary"), "tokens")
+        own, rows_ = key[used], []
+        for i, at in shards(own, parts):
+            pick = np.concatenate([np.arange(lo[x], hi[x]) for x in at])
+            rows_.append((i, own[at].tobytes(), (hi - lo)[at].astype(np.int32).tobytes(), t[pick].tobytes(), df[pick].tobytes()))
+        return pa.table({n: pa.array([r[k] for r in rows_], pa.int32() if n == "shard" else pa.binary()) for k, n in enumerate(("shard", "keys", "size", "t", "df"))})
+
+    def join(tab: pa.Table) -> pa.Table:
+        raw = {n: b"".join(tab[n].to_pylist()) for n in ("keys", "size", "t", "df")}
+        key = np.repeat(np.frombuffer(raw["keys"], np.int64), np.frombuffer(raw["size"], np.int32))
+        t, df = np.frombuffer(raw["t"], np.uint64), np.frombuffer(raw["df"], np.int32)
+        order = np.lexsort((t, key))
+        key, t, df = key[order], t[order], df[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (t[1:] != t[:-1])]  # a class's document may be there more than once
+        key, t, df = key[new], t[new], df[new]
+        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        end = np.r_[at[1:], len(key)]
+        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())
+        return pa.table({"key": key[at], "many": end - at, "s": cut(t), "df": cut(df)})
+
+    counted = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(count, "shard int, keys binary, size binary, t binary, df binary")
+    per = counted.groupBy("shard").applyInArrow(join, "key long, many long, s binary, df binary")
+    return stored(known.join(per, "key").where(100 * F.col("many") >= percent * F.col("n")).select("key", "n", (F.col("n") - F.col("many")).alias("u"), "s", "df"), "tokens")
 
 
 def postings(tokens: DataFrame, percent: int, most: int = MOST_L, verify: float = VERIFY) -> DataFrame:
-    """(token, key, n, l): the adaptive prefix of each class, less tokens that no other class has. Stored."""
+    """(token, key, n, u, l): the adaptive prefix of each class, less tokens that no other class has. Stored."""
 
     def choose(batches):
         for batch in batches:
-            out_t, out_k, out_n, out_l = [], [], [], []
+            out_t, out_k, out_n, out_u, out_l = [], [], [], [], []
             for key, n, s, dfs in zip(*(batch[c].to_pylist() for c in ("key", "n", "s", "df")), strict=True):
                 t, df = np.frombuffer(s, np.uint64), np.frombuffer(dfs, np.int32).astype(np.int64)
                 order = np.lexsort((t, df))
@@ -236,11 +260,12 @@ def postings(tokens: DataFrame, percent: int, most: int = MOST_L, verify: float
                 out_t.append(t[order[:k]].view(np.int64))
                 out_k.append(np.full(k, key))
                 out_n.append(np.full(k, n))
+                out_u.append(np.full(k, alone))
                 out_l.append(np.full(k, best[1]))
             cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(cat(x)) for x in (out_t, out_k, out_n, out_l)], ["token", "key", "n", "l"])
+            yield pa.RecordBatch.from_arrays([pa.array(cat(x)) for x in (out_t, out_k, out_n, out_u, out_l)], ["token", "key", "n", "u", "l"])
 
-    return stored(tokens.mapInArrow(choose, "token long, key long, n long, l long"), "postings")
+    return stored(tokens.mapInArrow(choose, "token long, key long, n long, u long, l long"), "postings")
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -282,9 +307,9 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "do
     post = postings(tokens, percent)
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
     edges, roots = None, None
-    for pick in (F.min, F.max):
+    for rank in (F.floor(1000 * F.col("u") / F.col("n")), F.lit(0)):  # the class with the smallest share of tokens of its own, then any
         left = post if roots is None else _open(post, roots)
-        hub = left.groupBy("token").agg(pick(F.struct("key", "n")).alias("h")).select("token", F.col("h.key").alias("a"), F.col("h.n").alias("m"))
+        hub = left.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "key", "n")).alias("h")).select("token", F.col("h.key").alias("a"), F.col("h.n").alias("m"))
         pairs = left.join(hub, "token").where((F.col("key") != F.col("a")) & fits(F.col("n"), F.col("m")))
         if roots is not None:
             hubs = left.select(F.col("key").alias("a"), F.col("comp").alias("ac")).distinct()
@@ -292,17 +317,37 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "do
         found = verified(pairs.select("a", F.col("key").alias("b")).distinct(), tokens, percent)
         edges = found if edges is None else edges.unionByName(found)
         roots = stored(components(edges), "roots")
-    left = stored(_open(post, roots), "open")
-    x, y = (left.select("token", *(F.col(c).alias(p + c) for c in ("key", "n", "l", "comp"))) for p in "xy")
-    pairs = x.join(y, "token").where("xkey < ykey and xcomp <> ycomp").where(fits(F.col("xn"), F.col("yn")))
+    left = _open(post, roots).join(sketches(tokens), "key")
+    left = stored(left, "open")
+    x, y = (left.select("token", *(F.col(c).alias(p + c) for c in ("key", "n", "u", "l", "comp", "k"))) for p in "xy")
+    apart = sum((F.bit_count(F.col("xk").getItem(i).bitwiseXOR(F.col("yk").getItem(i))) for i in range(SKETCH)), F.col("xu") + F.col("yu"))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("xn") + F.col("yn"))
+    pairs = x.join(y, "token").where("xkey < ykey and xcomp <> ycomp").where(fits(F.col("xn"), F.col("yn")) & near)
     pairs = pairs.groupBy("xkey", "ykey").agg(F.count("*").alias("c"), F.first(F.least("xl", "yl")).alias("l")).where("c >= l")
     edges = edges.unionByName(verified(pairs.select(F.col("xkey").alias("a"), F.col("ykey").alias("b")), tokens, percent))
     return rows.select("did", "th", "n", "key"), stored(components(edges).select(F.col("id").alias("key"), "root"), "roots")
 
 
+def sketches(tokens: DataFrame) -> DataFrame:
+    """(key, k): parities of the shared tokens over 64 * SKETCH places. Two sets differ in at least as many tokens as their
+    sketches in places, besides those that only one of them has in the whole corpus."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for raw in batch["s"].to_pylist():
+                place = (mix(np.frombuffer(raw, np.uint64)) % np.uint64(64 * SKETCH)).astype(np.int64)
+                odd = np.bincount(place, minlength=64 * SKETCH).astype(np.uint8) & 1
+                out.append(np.packbits(odd).view(np.int64))
+            flat_ = np.concatenate(out) if out else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch["key"], pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * SKETCH), pa.array(flat_))], ["key", "k"])
+
+    return tokens.select("key", "s").mapInArrow(run, "key long, k array<long>")
+
+
 def _open(post: DataFrame, roots: DataFrame) -> DataFrame:
     """Postings with their component, of lists that lie in more than one."""
-    known = post.join(roots.select(F.col("id").alias("key"), "root"), "key", "left").select("token", "key", "n", "l", F.coalesce("root", "key").alias("comp"))
+    known = post.join(roots.select(F.col("id").alias("key"), "root"), "key", "left").select("token", "key", "n", "u", "l", F.coalesce("root", "key").alias("comp"))
     lists = known.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
     return known.join(lists, "token", "left_semi")
 
