@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from moraine.llm.textbytes import lean
 from moraine.llm.common import components, small, stored, table
 
 SAMPLE, PARTS, WORDS = 20_000, 8, 256
@@ -179,7 +180,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, vec_id: str = "
                 )
 
     kind = dict(reps.dtypes)["label"]
-    placed = stored(reps.mapInArrow(place, f"label {kind}, key long, cid long, copies long, x binary, list int, probes array<int>, codes binary, err double"), "placed")
+    placed = stored(reps.mapInArrow(lean(place), f"label {kind}, key long, cid long, copies long, x binary, list int, probes array<int>, codes binary, err double"), "placed")
     asked = placed.select("label", "key", "cid", "x", F.explode("probes").alias("list"))
     size = placed.groupBy("label", "list").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("mb"))
     load = placed.select("label", F.explode("probes").alias("list")).groupBy("label", "list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("qb"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.llm.common import components, small, stored, table
-from moraine.llm.textbytes import flat, mix, prefix_hash, span_hash, word_spans
+from moraine.llm.textbytes import flat, lean, mix, prefix_hash, span_hash, word_spans
 
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
@@ -94,7 +94,7 @@ def summarised(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame
                 key.append(int(mix(np.array([s.sum(dtype=np.uint64) ^ mix(np.bitwise_xor.reduce(mix(s + TURN))[None])[0]])).view(np.int64)[0]) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch["did"], batch["th"], pa.array(n, pa.int64()), pa.array(key, pa.int64())], ["did", "th", "n", "key"])
 
-    return stored(kept.mapInArrow(run, f"did {kind}, th long, n long, key long"), "sets")
+    return stored(kept.mapInArrow(lean(run), f"did {kind}, th long, n long, key long"), "sets")
 
 
 def dealt(texts: DataFrame, words: int, blocks: int, take) -> DataFrame:
@@ -132,7 +132,7 @@ def dealt(texts: DataFrame, words: int, blocks: int, take) -> DataFrame:
         if held:
             yield rows(held, np.array(who, np.int64))
 
-    return texts.mapInArrow(run, "block int, keys binary, doc binary, t binary")
+    return texts.mapInArrow(lean(run), "block int, keys binary, doc binary, t binary")
 
 
 def shared(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -265,7 +265,7 @@ def postings(tokens: DataFrame, percent: int, most: int = MOST_L, verify: float
             cat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(cat(x)) for x in (out_t, out_k, out_n, out_u, out_l)], ["token", "key", "n", "u", "l"])
 
-    return stored(tokens.mapInArrow(choose, "token long, key long, n long, u long, l long"), "postings")
+    return stored(tokens.mapInArrow(lean(choose), "token long, key long, n long, u long, l long"), "postings")
 
 
 def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -342,7 +342,7 @@ def sketches(tokens: DataFrame) -> DataFrame:
             flat_ = np.concatenate(out) if out else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch["key"], pa.ListArray.from_arrays(pa.array(np.arange(len(out) + 1, dtype=np.int32) * SKETCH), pa.array(flat_))], ["key", "k"])
 
-    return tokens.select("key", "s").mapInArrow(run, "key long, k array<long>")
+    return tokens.select("key", "s").mapInArrow(lean(run), "key long, k array<long>")
 
 
 def _open(post: DataFrame, roots: DataFrame) -> DataFrame:

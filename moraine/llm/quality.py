@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.llm.common import table
-from moraine.llm.textbytes import flat, mix, powers, span_hash, word_spans
+from moraine.llm.textbytes import flat, lean, mix, powers, span_hash, word_spans
 
 SAMPLE = 6000
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
-PIECE = 1 << 22
+PIECE = 1 << 17
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -151,7 +151,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.scores(batch[text]))], [*batch.schema.names, into])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(into, T.DoubleType())]))
+    return kept.mapInArrow(lean(run), T.StructType([*kept.schema.fields, T.StructField(into, T.DoubleType())]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.llm.automata import Automaton
+from moraine.llm.textbytes import lean
 from moraine.llm.common import stored, table
 
 SAMPLE = 800
@@ -89,7 +90,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                     values.append([t[s[3] : s[2]] for s in own])
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(found, base), pa.array(others, cand), pa.array(values, held)], ["doc_id", "base", "cand", "held"])
 
-    return stored(kept.mapInArrow(run, f"doc_id {kind}, base array<struct<start:int,kind:int,end:int,`from`:int>>, cand array<struct<start:int,end:int,value:string>>, held array<string>"), "secrets")
+    return stored(kept.mapInArrow(lean(run), f"doc_id {kind}, base array<struct<start:int,kind:int,end:int,`from`:int>>, cand array<struct<start:int,end:int,value:string>>, held array<string>"), "secrets")
 
 
 def infer(rows: DataFrame, sample: int = SAMPLE, alpha: float = 0.01) -> dict[int, Automaton]:
@@ -125,7 +126,7 @@ def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample:
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["base"], pa.array(out, found)], ["doc_id", "base", "found"])
 
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.drop("held").mapInArrow(run, f"doc_id {kind}, base array<struct<start:int,kind:int,end:int,`from`:int>>, found array<struct<start:int,kind:int,end:int,score:double>>")
+    return rows.drop("held").mapInArrow(lean(run), f"doc_id {kind}, base array<struct<start:int,kind:int,end:int,`from`:int>>, found array<struct<start:int,kind:int,end:int,score:double>>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moraine.llm.textbytes import lean
 from moraine.llm.common import table
 
 MARK = "▁"
@@ -182,7 +183,7 @@ def _mapped(df: DataFrame, schema: str, model: bytes, threads: int, make) -> Dat
         for batch in batches:
             yield from make(own, batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", into: str = "ids", threads: int = 2) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from moraine.llm.common import small, stored, table
 from moraine.llm.suffixes import matched
-from moraine.llm.textbytes import flat, mix, powers, prefix_hash, span_hash
+from moraine.llm.textbytes import flat, lean, mix, powers, prefix_hash, span_hash
 
 SIZE, GRAM = 200, 50
 PIECE = 1 << 17
@@ -113,7 +113,7 @@ def segments(docs: DataFrame, doc_id: str, text: str, size: int, gram: int) -> D
                 ["did", "th", "mh", "sh", "st", "nw"],
             )
 
-    return stored(kept.mapInArrow(run, f"did {kind}, th int, mh array<long>, sh array<long>, st array<int>, nw array<int>"), "segments")
+    return stored(kept.mapInArrow(lean(run), f"did {kind}, th int, mh array<long>, sh array<long>, st array<int>, nw array<int>"), "segments")
 
 
 def row_is(a: str, b: str) -> Column:
@@ -136,7 +136,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: i
                 one = lambda c: pa.repeat(batch[c][i], len(st))  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([pa.array(mh), pa.array(sh), pa.array(nw), one("did"), one("th"), pa.array(st), pa.array(cut, pa.binary())], ["mh", "sh", "nw", "did", "th", "st", "body"])
 
-    return got.mapInArrow(run, f"mh long, sh long, nw int, did {kind}, th int, st int, body binary").dropDuplicates(["mh", "sh"])
+    return got.mapInArrow(lean(run), f"mh long, sh long, nw int, did {kind}, th int, st int, body binary").dropDuplicates(["mh", "sh"])
 
 
 RANGES = "mh long, sh long, lo int, hi int"
@@ -182,7 +182,7 @@ def spread(bodies: DataFrame, size: int, later_too: bool) -> DataFrame:
                 one = lambda c: pa.repeat(batch[c][i], n)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([one("mh"), one("sh"), pa.array(at.astype(np.int32)), pa.array(wh), one("did"), pa.array(batch["st"][i].as_py() + at), one("th")], ["mh", "sh", "off", "wh", "did", "place", "th"])
 
-    windows = stored(bodies.mapInArrow(run, f"mh long, sh long, off int, wh long, did {kind}, place long, th int"), "windows")
+    windows = stored(bodies.mapInArrow(lean(run), f"mh long, sh long, off int, wh long, did {kind}, place long, th int"), "windows")
     where = F.struct("did", "place", "th")
     shared = windows.groupBy("mh", "wh").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select("mh", "wh", "first")
     hits = windows.join(stored(shared, "shared"), ["mh", "wh"])
@@ -266,7 +266,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -
             cols = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -278,7 +278,7 @@ def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
             texts = [None if (t := batch[text][i].as_py()) is None else cut(t.encode(), batch["_s"][i].values)[0].decode("utf-8", "ignore") for i in range(batch.num_rows)]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text else batch[n] for n in batch.schema.names if n != "_s"], [n for n in batch.schema.names if n != "_s"])
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(lean(run), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -76,3 +79,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[
     after[last] = False
     end = np.flatnonzero(inside & ~after) + 1
     return start, end, np.searchsorted(start, offsets)
+
+
+def lean(run):
+    """run over batches, after which the worker gives freed memory back: workers are reused and several idle ones stay."""
+
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return out
