@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from moraine.plans import curate
+
+QUERIES: dict = {**curate.QUERIES}
+ORACLES: dict = {**curate.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").groupBy("lang").agg(F.count("*").alias("n"))
+    """Decisions by marker class after the whole curation of metrics, duplicates, reasons and score."""
+    return curate.QUERIES["q_decision_by_class"](spark, sf_dir)
