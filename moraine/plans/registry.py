@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.plans import curate
+from moraine.plans import curate, panel
 
-QUERIES: dict = {**curate.QUERIES}
-ORACLES: dict = {**curate.ORACLES}
+QUERIES: dict = {**curate.QUERIES, **panel.QUERIES}
+ORACLES: dict = {**curate.ORACLES, **panel.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
