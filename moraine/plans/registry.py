@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.plans import curate, panel
+from moraine.plans import curate, damage, panel
 
-QUERIES: dict = {**curate.QUERIES, **panel.QUERIES}
-ORACLES: dict = {**curate.ORACLES, **panel.ORACLES}
+QUERIES: dict = {**curate.QUERIES, **panel.QUERIES, **damage.QUERIES}
+ORACLES: dict = {**curate.ORACLES, **panel.ORACLES, **damage.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
