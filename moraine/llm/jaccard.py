@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.llm.common import components, small, stored, table
-from moraine.llm.textbytes import flat, lean, mix, prefix_hash, span_hash, word_spans
+from moraine.llm.textbytes import flat, lean, lean_group, mix, prefix_hash, span_hash, word_spans
 
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
@@ -152,8 +152,8 @@ def shared(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
 
 
 def blocks_for(tokens: int) -> int:
-    """A block has about a million tokens."""
-    return max(1, min(1 << 24, -(-int(tokens) // 1_000_000)))
+    """A block has some hundred thousand tokens."""
+    return max(1, min(1 << 24, -(-int(tokens) // 400_000)))
 
 
 def shards(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -196,8 +196,8 @@ def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: in
         key, at = np.unique(np.frombuffer(b"".join(tab["keys"].to_pylist()), np.int64), return_inverse=True)
         return pa.table({"key": key, "c": np.bincount(at, np.frombuffer(b"".join(tab["c"].to_pylist()), np.int32), minlength=len(key)).astype(np.int64)})
 
-    counted = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(count, "shard int, keys binary, c binary")
-    seen = counted.groupBy("shard").applyInArrow(add, "key long, c long")
+    counted = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, c binary")
+    seen = counted.groupBy("shard").applyInArrow(lean_group(add), "key long, c long")
     ranked = first.select(F.xxhash64("at.did", "at.th").alias("id"), "key", "n", "at.did", "at.th")
     m = F.least(F.col("n"), 2 * (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)) + 1)
     enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= m - (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)))
@@ -234,8 +234,8 @@ def frequencies(texts: DataFrame, known: DataFrame, words: int, percent: int) ->
         cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())
         return pa.table({"key": key[at], "many": end - at, "s": cut(t), "df": cut(df)})
 
-    counted = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(count, "shard int, keys binary, size binary, t binary, df binary")
-    per = counted.groupBy("shard").applyInArrow(join, "key long, many long, s binary, df binary")
+    counted = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, size binary, t binary, df binary")
+    per = counted.groupBy("shard").applyInArrow(lean_group(join), "key long, many long, s binary, df binary")
     return stored(known.join(per, "key").where(100 * F.col("many") >= percent * F.col("n")).select("key", "n", (F.col("n") - F.col("many")).alias("u"), "s", "df"), "tokens")
 
 
@@ -296,7 +296,7 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         ok = 100 * both >= percent * (n[rows] + n[hub] - both)
         return pa.table({"a": tab["a"].take(pa.array(rows[ok])), "b": tab["key"].take(pa.array(rows[ok]))})
 
-    return stored(left.unionByName(right).groupBy("a", "part").applyInArrow(test, "a long, b long"), "links")
+    return stored(left.unionByName(right).groupBy("a", "part").applyInArrow(lean_group(test), "a long, b long"), "links")
 
 
 def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

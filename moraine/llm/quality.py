@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from moraine.llm.common import table
-from moraine.llm.textbytes import flat, lean, mix, powers, span_hash, word_spans
+from moraine.llm.textbytes import flat, give_back, lean, mix, powers, span_hash, word_spans
 
-SAMPLE = 6000
+SAMPLE = 4000
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
 PIECE = 1 << 17
@@ -138,7 +138,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = F.broadcast(ranked[0].unionByName(ranked[1]))  # sample rows at most
     got = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(chosen, "did").toArrow()
     got = got.sort_by([("did", "ascending"), ("t", "ascending")])
-    return fit(got["t"].to_pylist(), got["y"].to_pylist(), **how)
+    model = fit(got["t"].to_pylist(), got["y"].to_pylist(), **how)
+    del got
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:

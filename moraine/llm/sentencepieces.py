@@ -2,8 +2,8 @@
 
 The model protobuf is parsed here (no sentencepiece import): pieces with scores and kinds, trainer and normaliser settings.
 From it a ``Tokenizer`` is rebuilt: the character map, whitespace squeezing and the dummy prefix of the normaliser, the
-metaspace marker, then either unigram scores or merges ranked by score, with byte fallback. Batches of about a million
-characters go through the library's thread pool, whole texts at a time.
+metaspace marker, then either unigram scores or merges ranked by score, with byte fallback. Batches of about a hundred
+thousand characters go through the library's thread pool, whole texts at a time.
 
 Null texts encode like empty ones: no ids, decoded to the empty string. Control symbols in a text are ordinary text.
 Decoding gives the normalised text (equal to the text itself wherever normalisation changes nothing).
@@ -152,7 +152,7 @@ def codec(data: bytes, threads: int) -> Codec:
     return Codec(data)
 
 
-def pieces(values: list, weigh, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def pieces(values: list, weigh, most: int = 1 << 17) -> Iterator[tuple[int, int]]:
     """(from, to) of runs of about ``most`` characters or ids, so that memory does not follow the batch."""
     at = weight = 0
     for i, v in enumerate(values):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from moraine.llm.common import small, stored, table
 from moraine.llm.suffixes import matched
-from moraine.llm.textbytes import flat, lean, mix, powers, prefix_hash, span_hash
+from moraine.llm.textbytes import flat, give_back, lean, mix, powers, prefix_hash, span_hash
 
 SIZE, GRAM = 200, 50
 PIECE = 1 << 17
@@ -165,6 +165,8 @@ def compared(tab: pa.Table, size: int, later_too: bool) -> pa.Table:
     lo, hi = runs(grid)
     seg = part[np.minimum(lo - np.searchsorted(np.cumsum(nw + 1), lo, "right"), len(part) - 1)]
     base = np.r_[0, np.cumsum(nw + 1)][seg]
+    del data, starts, first, hit, grid
+    give_back()
     return pa.table({"mh": mh[seg], "sh": sh[seg], "lo": pa.array(lo - base, pa.int32()), "hi": pa.array(hi - base, pa.int32())})
 
 

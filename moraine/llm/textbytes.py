@@ -42,7 +42,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE to the 0..n-1 and its inverse's powers, modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
         for key, base in (("up", BASE), ("down", inverse)):
             out = np.full(size, base, np.uint64)
@@ -81,15 +81,32 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[
     return start, end, np.searchsorted(start, offsets)
 
 
+def give_back() -> None:
+    """Freed memory to the system: Python workers are reused and idle ones stay, so what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def lean(run):
-    """run over batches, after which the worker gives freed memory back: workers are reused and several idle ones stay."""
+    """run over batches, with memory given back after a task."""
 
     def out(batches):
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
+
+    return out
+
+
+def lean_group(work):
+    """work on a group's table, with memory given back after it."""
+
+    def out(tab):
+        try:
+            return work(tab)
+        finally:
+            give_back()
 
     return out
