@@ -37,12 +37,13 @@ def greedy_cover(segs: DataFrame, depth: int, bait_len: int = 80, target: str =
     """
     kind = dict(segs.dtypes)[target]
 
-    def fill(pdf):
+    def fill(tab):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        pdf = pdf.sort_values("from")
-        lack = np.repeat(np.maximum(0, depth - pdf["depth"].to_numpy()), (pdf["to"] - pdf["from"]).to_numpy())
+        tab = tab.sort_by("from")
+        low, high, at_depth = (tab[c].to_numpy() for c in ("from", "to", "depth"))
+        lack = np.repeat(np.maximum(0, depth - at_depth), high - low)
         starts = []
         while len(lack) >= bait_len and lack.sum() > 0:
             sums = np.r_[0, np.cumsum(lack)]
@@ -52,9 +53,9 @@ def greedy_cover(segs: DataFrame, depth: int, bait_len: int = 80, target: str =
                 break
             starts.append(at)
             lack[at : at + bait_len] = np.maximum(0, lack[at : at + bait_len] - 1)
-        return pd.DataFrame({target: [pdf[target].iloc[0]] * len(starts), "n": np.arange(1, len(starts) + 1), "start": np.array(starts, np.int64)})
+        return pa.table({target: pa.array([tab[target][0].as_py()] * len(starts), tab.schema.field(target).type), "n": pa.array(range(1, len(starts) + 1), pa.int64()), "start": pa.array(starts, pa.int64())})
 
-    return segs.groupBy(target).applyInPandas(fill, f"`{target}` {kind}, n long, start long")
+    return segs.groupBy(target).applyInArrow(fill, f"`{target}` {kind}, n long, start long")
 
 
 def recommendations(targets: DataFrame, probes: DataFrame, goal_fraction: float, goal_depth: float) -> DataFrame:

@@ -91,18 +91,17 @@ def greedy_representatives(pairs: DataFrame, most_first: bool = True) -> DataFra
     rows = pairs.join(root.withColumnRenamed("id", "a"), "a")
     kind = dict(pairs.dtypes)["a"]
 
-    def walk(pdf):
-        import pandas as pd
+    def walk(tab):
+        import pyarrow as pa
 
         near: dict = {}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            near.setdefault(a, set()).add(b)
-        count = pdf.groupby("a").size()
-        order = sorted(near, key=lambda x: (count[x], x), reverse=most_first)
+        a, b = tab["a"].to_pylist(), tab["b"].to_pylist()
+        for x, y in zip(a, b, strict=True):
+            near.setdefault(x, set()).add(y)
         gone: set = set()
-        for x in order:
+        for x in sorted(near, key=lambda x: (len(near[x]), x), reverse=most_first):
             if x not in gone:
                 gone |= near[x]
-        return pd.DataFrame({"id": sorted(gone)})
+        return pa.table({"id": pa.array(sorted(gone), tab.schema.field("a").type)})
 
-    return rows.groupBy("root").applyInPandas(walk, f"id {kind}")
+    return rows.groupBy("root").applyInArrow(walk, f"id {kind}")

@@ -121,7 +121,7 @@ def chimeras(spark: SparkSession, path: str) -> DataFrame:
 
 def taxdump(spark: SparkSession, nodes: str, names: str) -> DataFrame:
     """taxid, parent, rank, name of a pipe-delimited dump; scientific names only, bad numbers left out."""
-    col = lambda i: F.trim(F.get(F.split("value", r"\|"), F.lit(i)))
+    col = lambda i: F.btrim(F.get(F.split("value", r"\|"), F.lit(i)), F.lit(" \t"))
     n = spark.read.text(nodes).select(col(0).try_cast("long").alias("taxid"), col(1).try_cast("long").alias("parent"), col(2).alias("rank")).where("taxid is not null and parent is not null")
     m = spark.read.text(names).where(col(3) == "scientific name").select(col(0).try_cast("long").alias("taxid"), col(1).alias("name")).where("taxid is not null")
     return n.join(m.groupBy("taxid").agg(F.last("name").alias("name")), "taxid", "left")
