@@ -273,7 +273,7 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     split = F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / 1000))
     pairs = stored(pairs, "pairs")
     sizes = stored(pairs.groupBy("a").agg(F.count("*").alias("c")), "sizes")
-    cut = stored(pairs.join(sizes, "a").select("a", split.alias("part"), F.col("b").alias("key")), "cut")
+    cut = stored(pairs.join(small(sizes, BROADCAST_ROWS), "a").select("a", split.alias("part"), F.col("b").alias("key")), "cut")
     heads = stored(sizes.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("c") / 1000) - 1)).alias("part")), "heads")
     sets_ = tokens.select("key", "n", "s")
     right = sets_.join(small(cut, BROADCAST_ROWS), "key").select("a", "part", "key", "n", "s", F.lit(False).alias("own"))
