@@ -76,11 +76,34 @@ def modified_bases(seq: Column) -> Column:
     return count_in(F.upper(seq), "UN")
 
 
-def kmers(seq: Column, k: int, step: int = 1) -> Column:
+BLOCK = 512
+
+
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def by_blocks(seq: Column, k: int, make) -> Column:
+    """One array of make(block, first, n) over blocks of the text: n window starts, block holding the text of their windows of
+    k characters and first the 0-based place of the first start.
+
+    Taking a substring costs its distance from the start of the text, so windows are cut from short blocks.
+    """
+    starts = F.sequence(F.lit(0), F.length(seq) - k, F.lit(BLOCK))
+    one = lambda c: let(F.substring(seq, c + 1, F.lit(BLOCK + k - 1)), lambda t: make(t, c, F.least(F.lit(BLOCK), F.length(t) - k + 1)))
+    return F.when(F.length(seq) >= k, F.flatten(F.transform(starts, one)))
+
+
+def places(seq: Column, k: int) -> Column:
+    """array<struct<p,kmer>> of all windows of k characters with their 1-based places; null for shorter texts."""
+    return by_blocks(seq, k, lambda t, c, n: F.transform(F.sequence(F.lit(1), n), lambda j: F.struct((c + j).alias("p"), F.substring(t, j, F.lit(k)).alias("kmer"))))
+
+
+def kmers(seq: Column, k: int) -> Column:
     """All k-mers without N, in order; an empty array for shorter sequences."""
-    places = F.sequence(F.lit(1), F.length(seq) - k + 1, F.lit(step))
-    all_ = F.transform(places, lambda i: F.substring(seq, i, F.lit(k)))
-    return F.when(F.length(seq) >= k, F.filter(all_, lambda x: ~F.contains(x, F.lit("N")))).otherwise(F.array().cast("array<string>"))
+    all_ = by_blocks(seq, k, lambda t, c, n: F.transform(F.sequence(F.lit(1), n), lambda j: F.substring(t, j, F.lit(k))))
+    return F.coalesce(F.filter(all_, lambda x: ~F.contains(x, F.lit("N"))), F.array().cast("array<string>"))
 
 
 # RNA/DNA nearest-neighbour enthalpy (kcal/mol) and entropy (cal/mol/K), Sugimoto et al. 1995, by RNA strand 5' to 3'.

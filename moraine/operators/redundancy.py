@@ -48,8 +48,7 @@ def seed_hits(queries: DataFrame, subjects: DataFrame, k: int = 12, min_ident: i
     The join is on k-mers; each (query, subject, diagonal) is compared once.
     """
     def grams(df, name, text):
-        at = F.transform(F.sequence(F.lit(1), F.length(text) - k + 1), lambda i: F.struct(i.alias("p"), F.substring(text, i, F.lit(k)).alias("m")))
-        return df.where(F.length(text) >= k).select(name, F.explode(at).alias("x")).select(name, "x.p", "x.m")
+        return df.select(name, F.explode(S.places(text, k)).alias("x")).select(name, "x.p", F.col("x.kmer").alias("m"))
 
     q = queries.select(F.col(query_id).alias("qseqid"), F.upper(seq).alias("qs"))
     strands = F.explode(F.array(F.struct(F.lit("plus").alias("strand"), F.upper(seq).alias("t")), F.struct(F.lit("minus").alias("strand"), S.reverse_complement(F.upper(seq)).alias("t"))))

@@ -32,8 +32,9 @@ def find(seq: Column, pattern: str, mismatches: int = 0) -> Column:
     for a, b in zip(cuts, cuts[1:], strict=False):
         some = some | F.contains(seq, F.lit(pattern[a:b]))
     letters = F.array(*map(F.lit, pattern))
-    off = lambda i: F.size(F.filter(F.zip_with(F.split(F.substring(seq, i + 1, F.lit(n)), ""), letters, lambda a, b: a != b), lambda x: x))
-    near = F.array_min(F.filter(F.sequence(F.lit(0), F.length(seq) - n), lambda i: off(i) <= mismatches))
+    off = lambda chars, j: F.size(F.filter(F.zip_with(F.slice(chars, j, n), letters, lambda a, b: a != b), lambda x: x))
+    close = lambda t, c, k: S.let(F.split(t, ""), lambda chars: F.transform(F.filter(F.sequence(F.lit(1), k), lambda j: off(chars, j) <= mismatches), lambda j: c + j - 1))
+    near = F.array_min(S.by_blocks(seq, n, close))
     return out.when(some, near)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from moraine.functions import sequence as S
@@ -109,20 +109,20 @@ def softmasked(refs: DataFrame, k: int = 15, threshold: int = 3, ref_id: str = "
     """Sequences with every base under a k-mer that occurs ``threshold`` times in all of them in lower case.
 
     k-mers are counted by a partial aggregate; the repeated ones come back by an equi-join on the k-mer, as places by
-    reference, which are merged into runs before the text is rebuilt.
+    reference, which become runs (gaps and islands) before the text is rebuilt.
     """
     s = F.upper(seq)
-    at = F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.struct(i.alias("p"), F.substring(s, i, F.lit(k)).alias("kmer")))
-    places = refs.where(F.length(seq) >= k).select(F.col(ref_id).alias("_id"), F.explode(at).alias("x")).select("_id", "x.p", "x.kmer").where(~F.contains("kmer", F.lit("N")))
+    places = refs.select(F.col(ref_id).alias("_id"), F.explode(S.places(s, k)).alias("x")).select("_id", "x.p", "x.kmer").where(~F.contains("kmer", F.lit("N")))
     often = places.groupBy("kmer").agg(F.count("*").alias("c")).where(F.col("c") >= threshold).select("kmer")
-    hit = places.join(often, "kmer", "left_semi").groupBy("_id").agg(F.array_sort(F.collect_set("p")).alias("_p"))
-    out = refs.join(hit, F.col(ref_id) == F.col("_id"), "left")
-    # each place owns the bases up to the next place, or k of them
-    nexts = F.concat(F.slice("_p", 2, F.size("_p")), F.array(F.lit(1 << 30)))
-    covered = F.zip_with("_p", nexts, lambda p, q: F.struct(p.alias("p"), F.least(p + k, q).alias("e")))
-    step = lambda acc, x: F.struct(F.concat(acc["t"], F.substring(s, acc["at"], x["p"] - acc["at"]), F.lower(F.substring(s, x["p"], x["e"] - x["p"]))).alias("t"), x["e"].alias("at"))
-    text = F.aggregate(covered, F.struct(F.lit("").alias("t"), F.lit(1).alias("at")), step, lambda acc: F.concat(acc["t"], F.substring(s, acc["at"], F.length(s))))
-    return out.withColumn(seq, F.when(F.col("_p").isNull(), s).otherwise(text)).drop("_id", "_p")
+    w = Window.partitionBy("_id").orderBy("p")
+    hit = places.join(often, "kmer", "left_semi").select("_id", "p", F.coalesce(F.col("p") - F.lag("p").over(w) > k, F.lit(True)).cast("int").alias("new"))
+    runs = hit.withColumn("run", F.sum("new").over(w)).groupBy("_id", "run").agg(F.min("p").alias("a"), (F.max("p") + k).alias("e"))
+    runs = runs.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("a", "e"))).alias("_r"))
+    out = refs.join(runs, F.col(ref_id) == F.col("_id"), "left")
+    ends = F.concat(F.array(F.lit(1)), F.transform("_r", lambda r: r["e"]))
+    # what lies between the runs as it is, and the runs in lower case
+    parts = F.zip_with(ends, "_r", lambda e, r: F.concat(F.substring(s, e, F.coalesce(r["a"], F.length(s) + 1) - e), F.coalesce(F.lower(F.substring(s, r["a"], r["e"] - r["a"])), F.lit(""))))
+    return out.withColumn(seq, F.when(F.col("_r").isNull(), s).otherwise(F.array_join(parts, ""))).drop("_id", "_r")
 
 
 def probe_place(probe_id: Column, length: Column) -> Column:
