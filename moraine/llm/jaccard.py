@@ -308,12 +308,9 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "do
     fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
     edges, roots = None, None
     for rank in (F.floor(1000 * F.col("u") / F.col("n")), F.lit(0)):  # the class with the smallest share of tokens of its own, then any
-        left = post if roots is None else _open(post, roots)
-        hub = left.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "key", "n")).alias("h")).select("token", F.col("h.key").alias("a"), F.col("h.n").alias("m"))
-        pairs = left.join(hub, "token").where((F.col("key") != F.col("a")) & fits(F.col("n"), F.col("m")))
-        if roots is not None:
-            hubs = left.select(F.col("key").alias("a"), F.col("comp").alias("ac")).distinct()
-            pairs = pairs.join(hubs, "a").where("comp <> ac")
+        left = post.withColumn("comp", F.col("key")) if roots is None else _open(post, roots)
+        hub = left.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "key", "n", "comp")).alias("h")).select("token", F.col("h.key").alias("a"), F.col("h.n").alias("m"), F.col("h.comp").alias("ac"))
+        pairs = left.join(hub, "token").where((F.col("comp") != F.col("ac")) & fits(F.col("n"), F.col("m")))
         found = verified(pairs.select("a", F.col("key").alias("b")).distinct(), tokens, percent)
         edges = found if edges is None else edges.unionByName(found)
         roots = stored(components(edges), "roots")
