@@ -13,7 +13,7 @@ throughout or near that class. Repeated rows score alike. Columns other than the
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +76,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
-def fit(texts: list[str], labels: list[int], buckets: int = 1 << 18, dim: int = 8, epochs: int = 6, rate: float = 40.0, batch: int = 32, seed: int = 7) -> Model:
+def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: int = 8, epochs: int = 6, rate: float = 40.0, batch: int = 32, seed: int = 7) -> Model:
     """Minibatch SGD of the cross-entropy of softmax(mean(rows) W + b)."""
     y = np.array(labels, np.int64)
     if not len(y):
@@ -138,7 +138,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = F.broadcast(ranked[0].unionByName(ranked[1]))  # sample rows at most
     got = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(chosen, "did").toArrow()
     got = got.sort_by([("did", "ascending"), ("t", "ascending")])
-    model = fit(got["t"].to_pylist(), got["y"].to_pylist(), **how)
+    model = fit((t.as_py() for t in got["t"]), got["y"].to_pylist(), **how)
     del got
     give_back()
     return model

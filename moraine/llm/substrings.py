@@ -193,7 +193,7 @@ def spread(bodies: DataFrame, size: int, later_too: bool) -> DataFrame:
     return hits.select("mh", "sh", F.col("off").alias("lo"), F.col("off").alias("hi"))
 
 
-def spans(docs: DataFrame, size: int = SIZE, keep: str = "first", doc_id: str = "doc_id", text: str = "text", gram: int | None = None, task_bytes: int = 1 << 20, most: int = 20_000) -> DataFrame:
+def spans(docs: DataFrame, size: int = SIZE, keep: str = "first", doc_id: str = "doc_id", text: str = "text", gram: int | None = None, task_bytes: int = 1 << 19, most: int = 20_000) -> DataFrame:
     """(did, th, s: array<struct<a,b>>): covered byte ranges of each document with any, unmerged; th is hash(text). Stored."""
     if keep not in ("first", "none") or size < 16:
         raise ValueError((keep, size))

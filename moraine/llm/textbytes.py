@@ -88,12 +88,12 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def lean(run):
-    """run over batches, with memory given back after a task."""
+def lean(run, rows: int = 500):
+    """run over slices of batches, so that what it holds follows some rows only, with memory given back after a task."""
 
     def out(batches):
         try:
-            yield from run(batches)
+            yield from run(b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
         finally:
             give_back()
 
