@@ -24,9 +24,9 @@ def sniff(line: str) -> str:
     return max((",", "\t", ";"), key=lambda c: (line.count(c), c == ","))
 
 
-def read_table(spark: SparkSession, path: str, sep: str | None = None, ordinal: bool = True) -> DataFrame:
-    """A delimited table with a header, all strings, trimmed; ordinal is the row's place in a single file."""
-    df = spark.read.csv(path, header=True, sep=sep or sniff(head(spark, path)), multiLine=False, comment="#")
+def read_table(spark: SparkSession, path: str, sep: str | None = None, ordinal: bool = True, comment: str | None = None) -> DataFrame:
+    """A delimited table with a header, all strings, trimmed; ordinal is the row's place in a single file. Lines that begin with the comment sign are skipped."""
+    df = spark.read.csv(path, header=True, sep=sep or sniff(head(spark, path)), multiLine=False, comment=comment)
     df = df.select(*(F.trim(F.col(f"`{c}`")).alias(c.strip().lstrip("﻿")) for c in df.columns))
     return df.withColumn("ordinal", F.monotonically_increasing_id()) if ordinal else df
 
@@ -53,7 +53,7 @@ def aliased(df: DataFrame, aliases: dict[str, list[str]], required: tuple[str, .
 
 def rules(spark: SparkSession, path: str, columns: list[str], needed: tuple[str, ...]) -> list[dict]:
     """Rows of a small rule table in order; rows without a needed value go. Rules become expressions, so they are read on the driver."""
-    df = read_table(spark, path, "\t")
+    df = read_table(spark, path, "\t", comment="#")
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
     ok = F.lit(True)
     for c in needed:
