@@ -129,3 +129,19 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 10, mode: str = "d
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+ORACLE = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select cast(item_id as varchar) as item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bi as (select item_id, w, least(len(w), 10) as m, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) as i from b where len(w) > 0),
+bw as (select distinct item_id, m, array_to_string(list_slice(w, i, i + m - 1), ' ') as win from bi),
+di as (select doc_id, w, m, unnest(generate_series(1, len(w) - m + 1)) as i from d, (select distinct m from bw) where len(w) >= m),
+dw as (select doc_id, m, i, array_to_string(list_slice(w, i, i + m - 1), ' ') as win from di),
+h as (select distinct doc_id, i, m, item_id from dw join bw using (m, win)),
+p as (select distinct doc_id, unnest(generate_series(i, i + m - 1)) as p from h),
+c as (select doc_id, count(*) as n_hit from p group by 1),
+t as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as s from h group by 1)
+select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(s, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join c using (doc_id) left join t using (doc_id)
+"""

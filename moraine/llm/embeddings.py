@@ -219,3 +219,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, vec_id: str = "
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+with recursive v as (select vec_id, label, cast(embedding as double[]) as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+k as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98),
+r as (select x, y from k union select r.x, k.y from r join k on r.y = k.x),
+n as (select x, count(*) as n from k group by 1),
+c as (select x, min(y) as y from r group by 1)
+select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(y, vec_id)) as component_id, vec_id = least(vec_id, coalesce(y, vec_id)) as kept
+from embeddings left join n on n.x = vec_id left join c on c.x = vec_id
+"""

@@ -367,3 +367,18 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("th")
+
+
+ORACLE = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+i as (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) as i from w where len(w) > 0),
+s as (select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as g from i),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 85 * (nx.n + ny.n - c)),
+k as (select x, y from l union all select y, x from l),
+r as (select x, y from k union select r.x, k.y from r join k on r.y = k.x),
+m as (select x, min(y) as y from r group by 1)
+select w.doc_id, coalesce(n, 0) as n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) as component_id
+from w left join n on n.doc_id = w.doc_id left join m on m.x = w.doc_id
+"""

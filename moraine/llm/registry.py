@@ -16,4 +16,9 @@ QUERIES: dict = {
     "op9_benchmark_decontamination": decontaminate.query,
     "op10_embedding_near_dedup": embeddings.query,
 }
-ORACLES: dict = {"op4_chat_formatting": chat.ORACLE}
+ORACLES: dict = {
+    "op4_chat_formatting": chat.ORACLE,
+    "op5_ngram_jaccard_join": jaccard.ORACLE,
+    "op9_benchmark_decontamination": decontaminate.ORACLE,
+    "op10_embedding_near_dedup": embeddings.ORACLE,
+}

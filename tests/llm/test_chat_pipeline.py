@@ -32,12 +32,19 @@ def test_rotation_by_hand(spark):
     assert chat.rotate(df.limit(0)).count() == 0
 
 
-def test_against_sql(spark, small_sf):
+@pytest.mark.parametrize("name", ["op4_chat_formatting", "op5_ngram_jaccard_join", "op9_benchmark_decontamination", "op10_embedding_near_dedup"])
+def test_against_sql(spark, small_sf, name):
     duckdb = pytest.importorskip("duckdb")
+    from moraine.llm import registry
+
     con = duckdb.connect()
-    con.execute(f"create view conversations as select * from '{small_sf}/conversations.parquet'")
-    key = lambda r: tuple(map(str, r))
-    assert sorted(map(key, con.execute(chat.ORACLE).fetchall())) == sorted(map(key, chat.query(spark, small_sf).collect()))
+    for t in ("conversations", "documents", "benchmark", "embeddings"):
+        con.execute(f"create view {t} as select * from '{small_sf}/{t}.parquet'")
+    cur = con.execute(registry.ORACLES[name])
+    names = [d[0] for d in cur.description]
+    df = registry.QUERIES[name](spark, small_sf)
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(tuple(map(str, r)) for r in cur.fetchall()) == sorted(tuple(str(r[c]) for c in names) for r in df.collect())
 
 
 def test_pipeline_against_brute_force(spark, small_sf):
