@@ -175,13 +175,14 @@ def greedy(spark, sf):
 
 @query("q_augment_panel")
 def augment(spark, sf):
-    return V.augment(refs(spark, sf).where("length between 80 and 2000"), probes(spark, sf, density=0.5), 1, rounds=2).groupBy("ref_id").agg(F.count("*").alias("n"))
+    return V.augment(refs(spark, sf).where("length >= 80"), probes(spark, sf, density=0.5), 1, rounds=2).groupBy("ref_id").agg(F.count("*").alias("n"))
 
 
 @query("q_seed_hits")
 def seeds(spark, sf):
-    p = probes(spark, sf, density=0.5).where("ref_id < 60")
-    return D.seed_hits(p, p, k=16)
+    seq = F.translate(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), "[^acgtn]", ""), "acgtn", "ACGTN")
+    p = T.tile(table(spark, sf, "benchmark").select(F.col("item_id").alias("ref_id"), seq.alias("seq")), bait_len=40, density=1.0, omit=20, pad_min=21)
+    return D.seed_hits(p, p, k=8, min_ident=15)
 
 
 @query("q_self_redundancy")
