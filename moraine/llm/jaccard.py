@@ -4,8 +4,8 @@ A document's set holds the hashes (64 bit) of its distinct word shingles. Two se
 Documents with equal sets are first reduced to one class.
 
 1. Admission. Under any fixed order of tokens, linked sets share l of their first n - ceil(t n) + l tokens. In the order of
-   hash values, with l so large that this is half of them, a class with fewer tokens there that any other class has links
-   with nothing; the rest go on.
+   hash values, with l so large that this is half of them, a class with fewer tokens there that any other class has than each
+   size of a linked set would ensure links with nothing; the rest go on.
 2. Frequencies of the admitted classes' tokens are counted exactly, in blocks of hash values, and go back to the classes.
    Those with fewer shared tokens than a link needs end here. The order is now (frequency, hash).
 3. Adaptive prefixes. A prefix of n - ceil(t n) + l tokens must share l tokens with that of a linked set. For each class l is
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.llm.common import components, small, stored, table
@@ -170,6 +170,19 @@ def half(n: int, percent: int) -> int:
     return prefix(n, percent, n - -(-percent * n // 100) + 1)
 
 
+def needed(n: Column, percent: int) -> Column:
+    """Tokens of a set of n, among those looked at for admission, that any linked set is sure to have among its own.
+
+    Sets of n and m that link share at least o = ceil(t (n + m) / (1 + t)) tokens. With a and b tokens looked at, they share
+    at least the least of a - n + o, b - m + o and o of those; the result is the least of that over all m that can link.
+    """
+    least = lambda x: F.ceil(F.lit(percent) * x / 100)
+    looked = lambda x: F.least(x, 2 * (x - least(x)) + 1)
+    both = lambda m: F.ceil(F.lit(percent) * (n + m) / (100 + percent))
+    sizes = F.sequence(least(n), F.floor(F.lit(100) * n / percent))
+    return F.array_min(F.transform(sizes, lambda m: both(m) + F.least(looked(n) - n, looked(m) - m, F.lit(0))))
+
+
 def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(texts, known): (key, t) of a document of each class of which enough of the first tokens are some other class's, and (key, n) of those classes."""
     first = stored(rows.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("at"), F.count("*").alias("c"), F.first("n").alias("n")), "classes")
@@ -199,8 +212,7 @@ def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: in
     counted = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, c binary")
     seen = counted.groupBy("shard").applyInArrow(lean_group(add), "key long, c long")
     ranked = first.select(F.xxhash64("at.did", "at.th").alias("id"), "key", "n", "at.did", "at.th")
-    m = F.least(F.col("n"), 2 * (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)) + 1)
-    enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= m - (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)))
+    enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= needed(F.col("n"), percent))
     who = stored(enough.select("did", "th", "key", "n").dropDuplicates(["key"]), "admitted")
     texts = mine.join(small(who, BROADCAST_ROWS).alias("w"), same("w")).select("w.key", "t")
     return texts, who.select("key", "n")

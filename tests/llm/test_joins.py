@@ -69,6 +69,18 @@ def test_jaccard_groups(spark, near_texts, words, percent):
     assert got == near_brute(list(enumerate(near_texts)), words, percent)
 
 
+def test_short_texts_that_extend_each_other_are_admitted(spark):
+    for words, percent in ((4, 85), (5, 80)):
+        texts = []
+        for n in range(1, 13):  # sets of n and n + more shingles, none shared with other texts
+            for more in (1, 2):
+                own = [f"w{len(texts)}x{i}" for i in range(n + more + words - 1)]
+                texts += [" ".join(own[: n + words - 1]), " ".join(own)] if 100 * n >= percent * (n + more) else []
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        rows = jaccard.summarised(df, "doc_id", "text", words)
+        assert jaccard.admitted(df, rows, "doc_id", "text", words, percent)[1].count() == len(texts) > 0
+
+
 def test_jaccard_query_and_empty(spark, small_sf, empty_docs):
     docs = [tuple(r) for r in spark.read.parquet(f"{small_sf}/documents.parquet").select("doc_id", "text").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.query(spark, small_sf).collect()} == near_brute(docs, 4, 85)
