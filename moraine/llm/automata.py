@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 
@@ -23,6 +24,7 @@ class Automaton:
 
     def __init__(self, strings: list[str], alpha: float = 0.01):
         self.alpha, self.nodes = alpha, [Node()]
+        self.depth = max(map(len, strings), default=0)
         for s in strings:
             self._add(s)
         self._merge_all()
@@ -108,3 +110,16 @@ class Automaton:
             at = node.next[c]
         node = self.nodes[at]
         return (total + math.log(node.ends / node.seen)) / (len(s) + 1) if node.ends else -math.inf
+
+    def rates(self, s: str) -> Iterator[tuple[int, float]]:
+        """(n, rate(s[:n])) of every start of s that is accepted."""
+        at, total = 0, 0.0
+        for n, c in enumerate(s, 1):
+            node = self.nodes[at]
+            if c not in node.next:
+                return
+            total += math.log(node.took[c] / node.seen)
+            at = node.next[c]
+            node = self.nodes[at]
+            if node.ends:
+                yield n, (total + math.log(node.ends / node.seen)) / (n + 1)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -99,6 +100,18 @@ def test_formats_are_inferred(spark, empty_docs):
     assert secrets.detect(empty_docs).count() == 0 and pii.detect(empty_docs).count() == 0
 
 
+def test_formats_of_any_shape_are_inferred(spark):
+    rng = random.Random(2)
+    pick = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    forms = [lambda: f"{pick(4, '01234')}.{pick(5, 'abcdef')}.{pick(3, '6789')}", lambda: pick(9, "0123456789"), lambda: pick(12, "qrstuvwxyz"), lambda: pick(300, "ghij")]
+    labelled = [f"x password={f()} y" for f in forms for _ in range(100)]
+    values = [f() for f in forms]
+    rest = [f"lonely {v}. Then" for v in values] + ["short " + v[:-1] for v in values[1:3]] + [f"see www.{values[1]}.org", f"password=abcdefgh1.{values[2]} x"]
+    df = spark.createDataFrame(list(enumerate(labelled + rest)), "doc_id int, text string")
+    got = {r.doc_id - 400: [rest[r.doc_id - 400][f.start : f.end] for f in r.found] for r in secrets.detect(df).where("doc_id >= 400").collect()}
+    assert got == {0: values[:1], 1: values[1:2], 2: values[2:3], 3: values[3:], 4: [], 5: [], 6: values[1:2], 7: []}
+
+
 def test_automaton_keeps_lengths():
     a = Automaton(["ab" * 5] * 50 + ["ab" * 7] * 50)
     assert a.rate("ab" * 5) > -1 and a.rate("ab" * 6) == float("-inf") and a.rate("ba") == float("-inf")
