@@ -85,17 +85,16 @@ def inside(lat: Column, lon: Column, box: tuple[float, float, float, float], req
     """In the box, edges included, over the antimeridian where its least longitude is the greater; rows without coordinates pass unless required."""
     a, b, c, d = box
     x = lon.between(a, c) if a <= c else (lon >= a) | (lon <= c)
-    return F.coalesce(lat.between(b, d) & x, F.lit(not require))
+    return F.when(lat.isNull() | lon.isNull(), F.lit(not require)).otherwise(lat.between(b, d) & x)
 
 
 def overlaps(young: Column, old: Column, bounds: tuple[float | None, float | None], require: bool = False) -> Column:
-    """The row's age range meets the wanted one; unknown ages pass unless required."""
-    ok = F.lit(True)
-    if bounds[0] is not None:
-        ok = ok & F.coalesce(old >= bounds[0], F.lit(True))
-    if bounds[1] is not None:
-        ok = ok & F.coalesce(young <= bounds[1], F.lit(True))
-    return ok & (young.isNotNull() | old.isNotNull()) if require else ok
+    """The row's age range meets the wanted one. Rows are compared only where all four bounds are known: one with an unknown
+    age passes (if ages are required, one of them must be known), and one open end of the wanted range lets every row pass."""
+    some = young.isNotNull() | old.isNotNull() if require else F.lit(True)
+    if bounds[0] is None or bounds[1] is None:
+        return some
+    return some & F.coalesce((old >= bounds[0]) & (young <= bounds[1]), young.isNull() | old.isNull())
 
 
 def group_of(code: Column, dataset_type: Column, name: Column) -> Column:
