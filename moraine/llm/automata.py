@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,12 +22,15 @@ class Automaton:
     """States are numbers; each has counts of ends and of symbols taken.
 
     Two states are compatible when the Hoeffding bound at ``alpha`` does not tell their shares of ends and of every
-    symbol apart, nor those of their successors, recursively.
+    symbol apart, nor those of their successors, recursively. States of all depths may merge, so the automaton forgets lengths;
+    a model of its own keeps them.
     """
 
     def __init__(self, strings: list[str], alpha: float = 0.01):
         self.alpha, self.nodes = alpha, [Node()]
-        self.depth = max(map(len, strings), default=0)
+        self.lengths, self.total = Counter(map(len, strings)), len(strings)
+        #: No string with more symbols is accepted.
+        self.depth = max(map(len, strings), default=0) * 8 // 7 + 1
         for s in strings:
             self._add(s)
         self._merge_all()
@@ -61,9 +67,9 @@ class Automaton:
                     stack.append((x.next[c], y.next[c]))
         return True
 
-    def _fold(self, into: int, tree: int) -> None:
-        """Add the counts of a subtree to the states that its strings reach from ``into``."""
-        stack = [(into, tree)]
+    def _fold(self, into: int, tree: int) -> list[int]:
+        """Add the counts of a subtree to the states that its strings reach from ``into``; the states that got new successors."""
+        stack, grown = [(into, tree)], []
         while stack:
             i, t = stack.pop()
             x, y = self.nodes[i], self.nodes[t]
@@ -76,40 +82,48 @@ class Automaton:
                     stack.append((x.next[c], child))
                 else:
                     x.next[c] = child
+                    grown.append(i)
+        return grown
 
     def _merge_all(self) -> None:
-        """Layer by layer, fullest first: a state joins the first compatible one at its depth, so formats keep their lengths."""
-        red, layer = [0], [0]
-        while layer:
-            ahead: list[int] = []
-            edges = [(self.nodes[child].seen, i, c, child) for i in layer for c, child in self.nodes[i].next.items()]
-            for _, parent, c, child in sorted(edges, key=lambda x: (-x[0], x[3])):
-                for i in ahead:
-                    if self._compatible(i, child):
-                        self.nodes[parent].next[c] = i
-                        self._fold(i, child)
-                        break
-                else:
-                    ahead.append(child)
-            red += ahead
-            layer = ahead
+        """Red states are final, blue ones are their other successors. The fullest blue state joins a compatible red one, the
+        nearest in depth first (then the fullest), at whatever depth; without any it becomes red. So loops may arise."""
+        depth, red, order = {0: 0}, [0], itertools.count()
+        blue = [(-self.nodes[t].seen, next(order), 0, c, t) for c, t in sorted(self.nodes[0].next.items())]
+        heapq.heapify(blue)
+        while blue:
+            _, _, parent, c, t = heapq.heappop(blue)
+            if self.nodes[parent].next[c] != t or t in depth:
+                continue
+            deep = depth[parent] + 1
+            for i in sorted(red, key=lambda i: (abs(depth[i] - deep), -self.nodes[i].seen, i)):
+                if self._compatible(i, t):
+                    self.nodes[parent].next[c] = i
+                    grown = self._fold(i, t)
+                    break
+            else:
+                depth[t] = deep
+                red.append(t)
+                grown = [t]
+            for i in grown:
+                for c, t in sorted(self.nodes[i].next.items()) if i in depth else ():
+                    if t not in depth:
+                        heapq.heappush(blue, (-self.nodes[t].seen, next(order), i, c, t))
         names = {old: new for new, old in enumerate(red)}
         kept = [self.nodes[i] for i in red]
         for node in kept:
             node.next = {c: names[i] for c, i in node.next.items()}
         self.nodes = kept
 
+    def length_rate(self, n: int) -> float:
+        """Log share of the examples of n symbols, or, where examples have more than eight lengths, of an eighth more or less."""
+        slack = n // 8 if len(self.lengths) > 8 else 0
+        near = sum(c for k, c in self.lengths.items() if abs(k - n) <= slack)
+        return math.log(near / self.total) if near else -math.inf
+
     def rate(self, s: str) -> float:
-        """Log-likelihood of s and its end, for each symbol; minus infinity where a symbol or the end was never seen."""
-        at, total = 0, 0.0
-        for c in s:
-            node = self.nodes[at]
-            if c not in node.next:
-                return -math.inf
-            total += math.log(node.took[c] / node.seen)
-            at = node.next[c]
-        node = self.nodes[at]
-        return (total + math.log(node.ends / node.seen)) / (len(s) + 1) if node.ends else -math.inf
+        """Log-likelihood of s for each symbol: of its symbols by the states, of its end by the length; minus infinity where a symbol or an end was never seen."""
+        return next((r for n, r in self.rates(s) if n == len(s)), -math.inf) if s else -math.inf
 
     def rates(self, s: str) -> Iterator[tuple[int, float]]:
         """(n, rate(s[:n])) of every start of s that is accepted."""
@@ -118,8 +132,7 @@ class Automaton:
             node = self.nodes[at]
             if c not in node.next:
                 return
-            total += math.log(node.took[c] / node.seen)
+            total += math.log(node.took[c] / (node.seen - node.ends))
             at = node.next[c]
-            node = self.nodes[at]
-            if node.ends:
-                yield n, (total + math.log(node.ends / node.seen)) / (n + 1)
+            if self.nodes[at].ends:
+                yield n, (total + self.length_rate(n)) / (n + 1)

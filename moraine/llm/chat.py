@@ -4,7 +4,8 @@ For every participant of a conversation the dialogue is rendered with that speak
 users; messages of ``narrators`` (system) stay what they are and are nobody's perspective. The result is one row a message
 and perspective with its segment, the segment's place in the rendered dialogue (characters, end exclusive) and whether it
 is trained on, so a conversation of any length never meets in one row: places are sums within blocks of turns plus sums
-over blocks. Concatenating segments in msg order is the rendered dialogue.
+over blocks. Concatenating segments in msg order is the rendered dialogue, which rendered() does. There are as many rows as
+messages times participants, as every perspective has every message.
 
 Messages are ordered by turn (nulls last), speaker, text; equal rows are separate messages. A null speaker is "unknown", a
 null text is empty, a null conversation id is a conversation of its own. Conversations of narrators alone have no
@@ -48,6 +49,15 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
     )
 
 
+def rendered(turns: DataFrame, **how) -> DataFrame:
+    """conv_id, perspective, dialogue, masks (array of struct start, end): whole dialogues, each in one row, so it must fit one."""
+    part = rotate(turns, **how)
+    listed = F.array_sort(F.collect_list(F.struct("msg", "segment", "mask_start", "mask_end", "train")))
+    got = part.groupBy("conv_id", "perspective").agg(listed.alias("m"))
+    masks = F.transform(F.filter("m", lambda x: x["train"]), lambda x: F.struct(x["mask_start"].alias("start"), x["mask_end"].alias("end")))
+    return got.select("conv_id", "perspective", F.array_join(F.transform("m", lambda x: x["segment"]), "").alias("dialogue"), masks.alias("masks"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(table(spark, sf_dir, "conversations"))
 

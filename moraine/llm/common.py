@@ -1,64 +1,30 @@
-"""What the operators share: table access, shared scratch tables, components of a graph."""
+"""What the operators share: table access, and the scratch tables, broadcasts and components of moraine.scratch."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own: dict[str, str] = {}
+from moraine.scratch import components, drop, fresh, small, stored, workspace
+
+__all__ = ["components", "drop", "fresh", "marked", "marks", "small", "stored", "table", "workspace"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is named."""
-    if named := spark.conf.get("spark.checkpoint.dir", None):
-        return named
-    app = spark.sparkContext.applicationId
-    return _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="moraine-"))
-
-
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def small(df: DataFrame, limit_rows: int) -> DataFrame:
-    """Broadcast a stored df only if it has at most limit_rows rows; otherwise leave the join to the planner."""
-    return F.broadcast(df) if df.limit(limit_rows + 1).count() <= limit_rows else df
+def marks(starts: Column, ends: Column) -> Column:
+    """Bytes, of which the n-th is "1" where a range covers the 0-based place n; for ranges sorted and apart, up to the last end.
 
+    Binary, as its n-th byte is found without a walk from the start.
+    """
+    before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.greatest(F.size(ends) - 1, F.lit(0))))
+    gap = F.zip_with(starts, before, lambda a, e: F.repeat(F.lit("0"), a - e))
+    runs = F.zip_with(gap, F.zip_with(starts, ends, lambda a, e: F.repeat(F.lit("1"), e - a)), lambda g, r: F.concat(g, r))
+    return F.array_join(runs, "").cast("binary")
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(id, root) for every id in edges (a, b); root is the smallest id reachable.
 
-    Alternating large-star and small-star rounds: each round links every vertex and its larger
-    (then smaller) neighbours to the smallest one near by, so a chain shortens geometrically and no
-    vertex list is gathered into one row. Every round is stored; nothing is collected.
-    """
-    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    pairs = stored(pairs, "cc")
-    seen = None
-    for _ in range(max_rounds):
-        # large star: every larger neighbour of x is tied to the smallest of x and its neighbours
-        both = pairs.select(F.col("u").alias("x"), F.col("v").alias("y")).unionByName(pairs.select(F.col("v").alias("x"), F.col("u").alias("y")))
-        least = both.groupBy("x").agg(F.min("y").alias("m")).select("x", F.least("x", "m").alias("m"))
-        large = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        # small star: every smaller neighbour of x, and x, is tied to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small_ = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        pairs = stored(small_, "cc")
-        now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError("components did not settle")
-    return pairs.select(F.col("u").alias("id"), F.col("v").alias("root"))
+def marked(bits: Column, place: Column) -> Column:
+    """Whether marks() has a "1" at a 0-based place."""
+    return F.coalesce(F.substring(bits, place + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))

@@ -6,8 +6,8 @@ of a window is hit.
 
 Plan. A window of m words always holds a whole block of b=(m+1)//2 words that starts at a multiple of m-b+1, so a
 document is first tested by hashes of only those blocks (n/6 of them for m = 10) against all b-grams of the benchmark.
-Only documents with such a block have all their windows compared, as text. The benchmark side is broadcast while it
-has at most BROADCAST_ROWS rows, and joined by shuffle beyond.
+A block lies in m-b+1 windows; only those around a block that is found are compared, as text. The benchmark side is
+broadcast while it takes some MB (moraine.scratch.BROADCAST_BYTES), and joined by shuffle beyond.
 
 Null and empty texts have no words and no hits; repeated rows are each returned; other columns are ignored unless
 ``decontaminate`` is asked to keep them. An empty benchmark marks nothing.
@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm.common import small, stored, table
+from moraine.llm.common import fresh, marked, marks, small, stored, table
+from moraine.functions.sequence import let
 
-BROADCAST_ROWS = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -63,9 +63,9 @@ def hits(docs: DataFrame, bench: DataFrame, n: int = 10, doc_id: str = "doc_id",
     lengths = sorted(r.m for r in wins.select("m").distinct().collect())  # n values at most
     base = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), words_of(F.col(text)).alias("w"))
     blocks = [(m, (m + 1) // 2, m - (m + 1) // 2 + 1) for m in lengths]
-    test = lambda m, b: lambda i: F.struct(F.lit(m).alias("m"), block_hash(F.col("w"), i, b).alias("h"))
+    test = lambda m, b: lambda i: F.struct(F.lit(m).alias("m"), block_hash(F.col("w"), i, b).alias("h"), i.alias("i"))
     tests = [every(F.col("w"), b, s, test(m, b)) for m, b, s in blocks]
-    none = F.expr("cast(array() as array<struct<m:int,h:bigint>>)")
+    none = F.expr("cast(array() as array<struct<m:int,h:bigint,i:int>>)")
     cheap = F.concat(*(F.coalesce(t, none) for t in tests)) if tests else none
     rows = stored(base.select("did", "th", F.size("w").cast("long").alias("n_words"), cheap.alias("b")), "rows")
     grams = None
@@ -75,18 +75,19 @@ def hits(docs: DataFrame, bench: DataFrame, n: int = 10, doc_id: str = "doc_id",
         one = wins.where(F.col("m") == m).select(F.lit(m).alias("m"), F.explode(every(own, b, 1, gram)).alias("h")).distinct()
         grams = one if grams is None else grams.unionByName(one)
     if grams is None:
-        return rows.drop("b"), rows.sparkSession.createDataFrame([], "did long, th long, start int, m int, item_id string")
+        return rows.drop("b"), rows.where("false").select("did", "th", F.lit(0).alias("start"), F.lit(0).alias("m"), F.lit("").alias("item_id"))
     grams = stored(grams, "grams")
-    hot = rows.select("did", "th", F.explode("b").alias("b")).select("did", "th", "b.m", "b.h").join(small(grams, BROADCAST_ROWS), ["m", "h"], "left_semi").select("did", "th", "m").distinct()
-    hot = stored(hot, "suspects")
-    per = hot.groupBy("did", "th").agg(F.collect_set("m").alias("ms"))
+    hot = rows.select("did", "th", F.explode("b").alias("b")).select("did", "th", "b.m", "b.h", "b.i").join(small(grams), ["m", "h"], "left_semi").select("did", "th", "m", "i").distinct()
+    per = stored(hot.groupBy("did", "th").agg(F.collect_list(F.struct("m", "i")).alias("at")), "suspects")
     full = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("a")
-    near = full.join((F.broadcast(per) if hot.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else per).alias("p"), F.col("a.did").eqNullSafe(F.col("p.did")) & (F.col("a.th") == F.col("p.th"))).select("a.did", "a.th", "t", "ms")
-    near = near.select("did", "th", "ms", lowered(words_of(F.col("t"))).alias("w")).dropDuplicates(["did", "th"])
-    seen = near.select("did", "th", "w", F.explode("ms").alias("m"))
-    spots = F.transform(F.sequence(F.lit(0), F.size("w") - F.col("m")), lambda i: F.struct(i.alias("start"), F.array_join(F.slice("w", i + 1, F.col("m")), " ").alias("win")))
-    spots = seen.where(F.size("w") >= F.col("m")).select("did", "th", "m", F.explode(spots).alias("s")).select("did", "th", "m", "s.start", "s.win")
-    return rows.drop("b"), spots.join(small(wins, BROADCAST_ROWS), ["m", "win"]).select("did", "th", "start", "m", "item_id")
+    near = full.join(small(per).alias("p"), F.col("a.did").eqNullSafe(F.col("p.did")) & (F.col("a.th") == F.col("p.th"))).select("a.did", "a.th", "t", "at")
+    near = near.select("did", "th", lowered(words_of(F.col("t"))).alias("w"), F.explode("at").alias("x")).select("did", "th", "w", "x.m", "x.i")
+    # a window holds exactly one block of its length, so no start comes twice
+    low = F.greatest(F.col("i") - F.col("m") + F.floor((F.col("m") + 1) / 2).cast("int"), F.lit(0))
+    high = F.least(F.col("i"), F.size("w") - F.col("m"))
+    spots = near.select("did", "th", "w", "m", F.explode(F.when(low <= high, F.sequence(low, high))).alias("start"))
+    spots = spots.select("did", "th", "m", "start", F.array_join(F.slice("w", F.col("start") + 1, F.col("m")), " ").alias("win"))
+    return rows.drop("b"), spots.join(small(wins), ["m", "win"]).select("did", "th", "start", "m", "item_id")
 
 
 def covered(spans: Column) -> Column:
@@ -116,14 +117,17 @@ def decontaminate(docs: DataFrame, bench: DataFrame, n: int = 10, mode: str = "d
     """
     if mode not in ("documents", "spans"):
         raise ValueError(mode)
-    bad = stored(report(docs, bench, n, doc_id=doc_id, text=text).where("contaminated").select(F.col("doc_id").alias("_did"), F.col("th").alias("_th"), F.col("spans").alias("_spans")).dropDuplicates(["_did", "_th"]), "bad")
-    on = F.col(doc_id).eqNullSafe(F.col("_did")) & (F.xxhash64(text) == F.col("_th"))
+    did, th, spans = fresh(docs, "_did", "_th", "_spans")
+    bad = report(docs, bench, n, doc_id=doc_id, text=text).where("contaminated").select(F.col("doc_id").alias(did), F.col("th").alias(th), F.col("spans").alias(spans))
+    bad = small(stored(bad.dropDuplicates([did, th]), "bad"))
+    on = F.col(doc_id).eqNullSafe(F.col(did)) & (F.xxhash64(text) == F.col(th))
     if mode == "documents":
-        return docs.join(small(bad, BROADCAST_ROWS), on, "left_anti")
+        return docs.join(bad, on, "left_anti")
     pieces = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(rf"(?:{GAP})?+[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++|{GAP}"), F.lit(0))
-    inside = lambda i: F.exists("_spans", lambda s: (s["start"] <= i) & (i < s["end"]))
-    cleaned = F.array_join(F.filter(pieces, lambda p, i: ~inside(i)), "")
-    return docs.join(small(bad, BROADCAST_ROWS), on, "left").withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cleaned)).select(*docs.columns)
+    hit = F.array_sort(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["end"] - 1)))))
+    bits = let(hit, lambda at: marks(at, F.transform(at, lambda i: i + 1)))
+    cleaned = let(bits, lambda b: F.array_join(F.filter(pieces, lambda p, i: ~marked(b, i)), ""))
+    return docs.join(bad, on, "left").withColumn(text, F.when(F.col(spans).isNull(), F.col(text)).otherwise(cleaned)).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

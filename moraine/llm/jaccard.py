@@ -7,7 +7,7 @@ Documents with equal sets are first reduced to one class.
    hash values, with l so large that this is half of them, a class with fewer tokens there that any other class has than each
    size of a linked set would ensure links with nothing; the rest go on.
 2. Frequencies of the admitted classes' tokens are counted exactly, in blocks of hash values, and go back to the classes.
-   Those with fewer shared tokens than a link needs end here. The order is now (frequency, hash).
+   Batches of classes send a token once, whatever the number of their classes that have it, so no token is a hot key. Those with fewer shared tokens than a link needs end here. The order is now (frequency, hash).
 3. Adaptive prefixes. A prefix of n - ceil(t n) + l tokens must share l tokens with that of a linked set. For each class l is
    chosen so that postings + verification * postings / l is least: the longer the prefix, the more matches are demanded
    before a pair is verified (of two classes, the smaller l).
@@ -24,6 +24,7 @@ null. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm.common import components, small, stored, table
-from moraine.llm.textbytes import flat, lean, lean_group, mix, prefix_hash, span_hash, word_spans
+from moraine.llm.common import components, fresh, small, stored, table, workspace
+from moraine.llm.textbytes import flat, give_back, lean, lean_group, mix, span_hash, word_spans
 
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 PIECE = 1 << 17
-BROADCAST_ROWS = 300_000
+NOBODY = 65535
+HOT = 1000
 MOST_L, VERIFY, SKETCH = 8, 20.0, 8
 TURN = np.uint64(0x9DDFEA08EB382D69)
 
@@ -47,9 +49,8 @@ TURN = np.uint64(0x9DDFEA08EB382D69)
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first): hashes of all shingles, those of text d at first[d]:first[d+1], repeats included."""
     data = LOWER[data]
-    sums = prefix_hash(data)
     start, end, first = word_spans(data, offsets, GAP)
-    word = span_hash(sums, start, end)
+    word = span_hash(data, start, end)
     count = np.diff(first)
     n = np.where(count == 0, 0, np.maximum(count - words + 1, 1))
     out = np.r_[0, np.cumsum(n)]
@@ -97,58 +98,41 @@ def summarised(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame
     return stored(kept.mapInArrow(lean(run), f"did {kind}, th long, n long, key long"), "sets")
 
 
-def dealt(texts: DataFrame, words: int, blocks: int, take) -> DataFrame:
-    """(block, keys, doc, t): tokens take(set) of rows (key, t), by blocks of hash values; a row holds up to a million tokens.
-
-    keys are the classes of a row, doc tells each token's class by its place there.
-    """
-
-    def rows(own, keys):
-        sizes = np.array([len(x) for x in own])
-        t = np.concatenate(own) if len(own) else np.zeros(0, np.uint64)
-        doc = np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
-        block = ((t >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(block, kind="stable")
-        t, doc, edge = t[order], doc[order], np.searchsorted(block[order], np.arange(blocks + 1))
-        out = {"block": [], "keys": [], "doc": [], "t": []}
-        for b in np.flatnonzero(np.diff(edge)):
-            x, y = edge[b], edge[b + 1]
-            used, local = np.unique(doc[x:y], return_inverse=True)
-            for name, v in (("block", int(b)), ("keys", keys[used].tobytes()), ("doc", local.astype(np.uint16).tobytes()), ("t", t[x:y].tobytes())):
-                out[name].append(v)
-        return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in ("keys", "doc", "t"))], ["block", "keys", "doc", "t"])
+def batched(texts: DataFrame, words: int, take, make, schema: str) -> DataFrame:
+    """make(sets, keys) of runs of rows (key, t) that hold a million tokens take(set) in all, or one text's, at most."""
 
     def run(batches):
         held, who, size = [], [], 0
         for batch in batches:
             for key, s in zip(batch["key"].to_pylist(), sets(batch["t"], words), strict=True):
                 s = take(s)
+                if held and (size + len(s) > 1 << 20 or len(held) == NOBODY):
+                    yield make(held, np.array(who, np.int64))
+                    held, who, size = [], [], 0
                 held.append(s)
                 who.append(key)
                 size += len(s)
-                if size >= 1 << 20 or len(held) == 65536:
-                    yield rows(held, np.array(who, np.int64))
-                    held, who, size = [], [], 0
         if held:
-            yield rows(held, np.array(who, np.int64))
+            yield make(held, np.array(who, np.int64))
+
+    return texts.mapInArrow(lean(run), schema)
+
+
+def blocked(t: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, edges): places by block of hash values, and where each block begins."""
+    block = ((t >> np.uint64(32)) * np.uint64(blocks) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(block, kind="stable")
+    return order, np.searchsorted(block[order], np.arange(blocks + 1))
 
-    return texts.mapInArrow(lean(run), "block int, keys binary, doc binary, t binary")
 
+def table_of(rows: list[tuple], schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    cols = [c.split() for c in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(cols)})
 
-def shared(tab: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(key, doc, token, frequency) of a block's tokens that more than one class has, by class, then token; key is by doc."""
-    keys = [np.frombuffer(x, np.int64) for x in tab["keys"].to_pylist()]
-    base = np.r_[0, np.cumsum([len(k) for k in keys])]
-    doc = np.concatenate([np.frombuffer(x, np.uint16).astype(np.int64) + base[i] for i, x in enumerate(tab["doc"].to_pylist())])
-    t = np.frombuffer(b"".join(tab["t"].to_pylist()), np.uint64)
-    order = np.argsort(t, kind="stable")
-    t, doc = t[order], doc[order]
-    new = np.r_[True, t[1:] != t[:-1]]
-    df = np.diff(np.r_[np.flatnonzero(new), len(t)])[np.cumsum(new) - 1]
-    keep = df > 1
-    t, doc, df = t[keep], doc[keep], np.minimum(df[keep], 2**31 - 1).astype(np.int32)
-    order = np.argsort(doc, kind="stable")
-    return np.concatenate(keys), doc[order], t[order], df[order]
+
+def joined(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
 def blocks_for(tokens: int) -> int:
@@ -165,6 +149,12 @@ def shards(key: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(i), order[edge[i] : edge[i + 1]]
 
 
+def by_key(rows: DataFrame, side: DataFrame) -> DataFrame:
+    """rows.join(side, "key"); keys of more than HOT rows (c in side) go out by broadcast, so that their rows stay where they are."""
+    heavy = small(side.where(F.col("c") > HOT))
+    return rows.join(heavy, "key").unionByName(rows.join(heavy.select("key"), "key", "left_anti").join(side.where(F.col("c") <= HOT), "key"))
+
+
 def half(n: int, percent: int) -> int:
     """Tokens looked at for admission: so many that about half of them must be shared."""
     return prefix(n, percent, n - -(-percent * n // 100) + 1)
@@ -187,68 +177,136 @@ def admitted(docs: DataFrame, rows: DataFrame, doc_id: str, text: str, words: in
     """(texts, known): (key, t) of a document of each class of which enough of the first tokens are some other class's, and (key, n) of those classes."""
     first = stored(rows.where("key is not null").groupBy("key").agg(F.min(F.struct("did", "th")).alias("at"), F.count("*").alias("c"), F.first("n").alias("n")), "classes")
     total = first.agg(F.sum("n")).first()[0] or 0
-    r, c = rows.alias("r"), first.where("c > 1").alias("c")
-    copies = r.join(c, F.col("r.key") == F.col("c.key")).where(~(F.col("r.did").eqNullSafe(F.col("c.at.did")) & (F.col("r.th") == F.col("c.at.th")))).select("r.did", "r.th").distinct()
+    copies = by_key(rows.select("key", "did", "th"), first.where("c > 1").select("key", "at", "c"))
+    copies = copies.where(~(F.col("did").eqNullSafe(F.col("at.did")) & (F.col("th") == F.col("at.th")))).select("did", "th").distinct()
     none = rows.where("key is null").select("did", "th").distinct()
     out_ = stored(copies.unionByName(none), "copies").alias("o")
     mine = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
     same = lambda x: F.col("d.did").eqNullSafe(F.col(f"{x}.did")) & (F.col("d.th") == F.col(f"{x}.th"))
-    reps = mine.join(small(out_, BROADCAST_ROWS), same("o"), "left_anti")
+    reps = mine.join(small(out_).alias("o"), same("o"), "left_anti")
     ids = reps.select(F.xxhash64("did", "th").alias("key"), "t")  # a row's own number until its class is looked up
 
-    parts = blocks_for(total / 20)
+    blocks, parts = blocks_for(0.4 * total), blocks_for(total / 20)
+    kind = "block int, keys binary, doc binary, t binary"
+
+    def deal(own, keys):
+        """Tokens that several classes here have count for these at once and go on as one that is nobody's; others go on with their class."""
+        t = np.concatenate(own)
+        doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        order = np.argsort(t, kind="stable")
+        t, doc = t[order], doc[order]
+        new = np.flatnonzero(np.r_[True, t[1:] != t[:-1]]) if len(t) else np.zeros(0, np.int64)
+        many = np.diff(np.r_[new, len(t)]) > 1
+        credit = np.bincount(doc[np.repeat(many, np.diff(np.r_[new, len(t)]))], minlength=len(own)).astype(np.int32)
+        t, doc = t[new], np.where(many, NOBODY, doc[new]).astype(np.uint16)
+        order, edge = blocked(t, blocks)
+        t, doc, rows_ = t[order], doc[order], []
+        for b in np.flatnonzero(np.diff(edge)):
+            x, y = edge[b], edge[b + 1]
+            local, used = doc[x:y].copy(), np.unique(doc[x:y])
+            used = used[used != NOBODY]
+            has = local != NOBODY
+            local[has] = np.searchsorted(used, local[has])
+            rows_.append((int(b), keys[used].tobytes(), local.tobytes(), t[x:y].tobytes()))
+        got = np.flatnonzero(credit)
+        if len(got):  # a group of its own, as counts that are final here
+            rows_.append((blocks + int(keys[0]) % blocks, keys[got].tobytes(), credit[got].tobytes(), None))
+        return table_of(rows_, kind).combine_chunks().to_batches()[0] if rows_ else pa.RecordBatch.from_pylist([], table_of([], kind).schema)
 
     def count(tab: pa.Table) -> pa.Table:
-        key, doc, t, _ = shared(tab)
-        c = np.bincount(doc, minlength=len(key)).astype(np.int32)
-        key, c = key[c > 0], c[c > 0]
-        rows_ = [(i, key[at].tobytes(), c[at].tobytes()) for i, at in shards(key, parts)]
-        return pa.table({n: pa.array([r[k] for r in rows_], kind) for k, (n, kind) in enumerate((("shard", pa.int32()), ("keys", pa.binary()), ("c", pa.binary())))})
+        if tab["block"][0].as_py() >= blocks:
+            key, c = joined(tab["keys"], np.int64), joined(tab["doc"], np.int32)
+        else:
+            keys = [np.frombuffer(x, np.int64) for x in tab["keys"].to_pylist()]
+            base = np.r_[0, np.cumsum([len(k) for k in keys])]
+            local = [np.frombuffer(x, np.uint16) for x in tab["doc"].to_pylist()]
+            doc = np.concatenate([np.where(x == NOBODY, -1, x + base[i]) for i, x in enumerate(local)])
+            t = joined(tab["t"], np.uint64)
+            order = np.argsort(t, kind="stable")
+            t, doc = t[order], doc[order]
+            shared = np.zeros(len(t), bool)
+            shared[1:] = t[1:] == t[:-1]
+            shared[:-1] |= shared[1:]
+            key = np.concatenate(keys)
+            c = np.bincount(doc[shared & (doc >= 0)], minlength=len(key)).astype(np.int32)
+            key, c = key[c > 0], c[c > 0]
+        return table_of([(i, key[at].tobytes(), c[at].tobytes()) for i, at in shards(key, parts)], "shard int, keys binary, c binary")
 
     def add(tab: pa.Table) -> pa.Table:
-        key, at = np.unique(np.frombuffer(b"".join(tab["keys"].to_pylist()), np.int64), return_inverse=True)
-        return pa.table({"key": key, "c": np.bincount(at, np.frombuffer(b"".join(tab["c"].to_pylist()), np.int32), minlength=len(key)).astype(np.int64)})
+        key, at = np.unique(joined(tab["keys"], np.int64), return_inverse=True)
+        return pa.table({"key": key, "c": np.bincount(at, joined(tab["c"], np.int32), minlength=len(key)).astype(np.int64)})
 
-    counted = dealt(ids, words, blocks_for(0.4 * total), lambda s: s[: half(len(s), percent)]).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, c binary")
+    counted = batched(ids, words, lambda s: s[: half(len(s), percent)], deal, kind).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, c binary")
     seen = counted.groupBy("shard").applyInArrow(lean_group(add), "key long, c long")
     ranked = first.select(F.xxhash64("at.did", "at.th").alias("id"), "key", "n", "at.did", "at.th")
     enough = ranked.join(seen.select(F.col("key").alias("id"), F.col("c").alias("seen")), "id").where(F.col("seen") >= needed(F.col("n"), percent))
     who = stored(enough.select("did", "th", "key", "n").dropDuplicates(["key"]), "admitted")
-    texts = mine.join(small(who, BROADCAST_ROWS).alias("w"), same("w")).select("w.key", "t")
+    texts = mine.join(small(who).alias("w"), same("w")).select("w.key", "t")
     return texts, who.select("key", "n")
 
 
 def frequencies(texts: DataFrame, known: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, n, s, df): the tokens of each class that others have too, with their frequencies, where they suffice for a link. Stored."""
+    """(key, n, s, df): the tokens of each class that others have too, with their frequencies, where they suffice for a link. Stored.
+
+    Classes lie in stored batches of a million tokens. A batch sends each of its distinct tokens once, with its number of
+    classes, and gets back the tokens that are shared with their totals, so a token of very many classes costs a row a batch.
+    """
     total = known.agg(F.sum("n")).first()[0] or 0
-    parts = blocks_for(total)
+    blocks = blocks_for(total)
+    kind, sent, back = "batch long, keys binary, size binary, t binary", "block int, batch long, t binary, c binary", "batch long, t binary, df binary"
+
+    def pack(own, keys):
+        row = (uuid.uuid4().int >> 65, keys.tobytes(), np.array([len(x) for x in own], np.int32).tobytes(), np.concatenate(own).tobytes())
+        return table_of([row], kind).to_batches()[0]
+
+    batches = stored(batched(texts, words, lambda s: s, pack, kind), "batches")  # stored, as their numbers are drawn
+
+    def send(parts):
+        for part in parts:
+            for batch, raw in zip(part["batch"].to_pylist(), part["t"].to_pylist(), strict=True):
+                t, c = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
+                order, edge = blocked(t, blocks)
+                t, c = t[order], c[order].astype(np.int32)
+                rows_ = [(int(b), batch, t[edge[b] : edge[b + 1]].tobytes(), c[edge[b] : edge[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(edge))]
+                yield from table_of(rows_, sent).to_batches()
 
     def count(tab: pa.Table) -> pa.Table:
-        key, doc, t, df = shared(tab)
-        used = np.unique(doc)
-        lo, hi = np.searchsorted(doc, used), np.searchsorted(doc, used, "right")
-        own, rows_ = key[used], []
-        for i, at in shards(own, parts):
-            pick = np.concatenate([np.arange(lo[x], hi[x]) for x in at])
-            rows_.append((i, own[at].tobytes(), (hi - lo)[at].astype(np.int32).tobytes(), t[pick].tobytes(), df[pick].tobytes()))
-        return pa.table({n: pa.array([r[k] for r in rows_], pa.int32() if n == "shard" else pa.binary()) for k, n in enumerate(("shard", "keys", "size", "t", "df"))})
-
-    def join(tab: pa.Table) -> pa.Table:
-        raw = {n: b"".join(tab[n].to_pylist()) for n in ("keys", "size", "t", "df")}
-        key = np.repeat(np.frombuffer(raw["keys"], np.int64), np.frombuffer(raw["size"], np.int32))
-        t, df = np.frombuffer(raw["t"], np.uint64), np.frombuffer(raw["df"], np.int32)
-        order = np.lexsort((t, key))
-        key, t, df = key[order], t[order], df[order]
-        new = np.r_[True, (key[1:] != key[:-1]) | (t[1:] != t[:-1])]  # a class's document may be there more than once
-        key, t, df = key[new], t[new], df[new]
-        at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        end = np.r_[at[1:], len(key)]
-        cut = lambda x: pa.array([x[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())
-        return pa.table({"key": key[at], "many": end - at, "s": cut(t), "df": cut(df)})
-
-    counted = dealt(texts, words, blocks_for(total), lambda s: s).groupBy("block").applyInArrow(lean_group(count), "shard int, keys binary, size binary, t binary, df binary")
-    per = counted.groupBy("shard").applyInArrow(lean_group(join), "key long, many long, s binary, df binary")
-    return stored(known.join(per, "key").where(100 * F.col("many") >= percent * F.col("n")).select("key", "n", (F.col("n") - F.col("many")).alias("u"), "s", "df"), "tokens")
+        t, c = joined(tab["t"], np.uint64), joined(tab["c"], np.int32)
+        _, at = np.unique(t, return_inverse=True)
+        df = np.minimum(np.bincount(at, c), 2**31 - 1).astype(np.int32)[at]
+        ends = np.cumsum([len(x) // 8 for x in tab["t"].to_pylist()])
+        rows_, begin = [], 0
+        for batch, end in zip(tab["batch"].to_pylist(), ends.tolist(), strict=True):
+            keep = df[begin:end] > 1
+            if keep.any():
+                rows_.append((batch, t[begin:end][keep].tobytes(), df[begin:end][keep].tobytes()))
+            begin = end
+        return table_of(rows_, back)
+
+    def join(own: pa.Table, got: pa.Table) -> pa.Table:
+        out = "key long, many long, s binary, df binary"
+        if not own.num_rows or not got.num_rows:
+            return table_of([], out)
+        known_t, known_df = joined(got["t"], np.uint64), joined(got["df"], np.int32)
+        order = np.argsort(known_t)
+        known_t, known_df = known_t[order], known_df[order]
+        keys, t = joined(own["keys"], np.int64), joined(own["t"], np.uint64)
+        at = np.minimum(np.searchsorted(known_t, t), len(known_t) - 1)
+        hit = known_t[at] == t
+        ends = np.cumsum(joined(own["size"], np.int32))
+        kept = np.r_[0, np.cumsum(hit)]
+        t, df = t[hit], known_df[at[hit]]
+        a, b = kept[ends - joined(own["size"], np.int32)], kept[ends]
+        rows_ = [(k, y - x, t[x:y].tobytes(), df[x:y].tobytes()) for k, x, y in zip(keys.tolist(), a.tolist(), b.tolist(), strict=True) if y > x]
+        give_back()
+        return table_of(rows_, out)
+
+    counted = batches.select("batch", "t").mapInArrow(send, sent).groupBy("block").applyInArrow(lean_group(count), back)
+    per = batches.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(join, "key long, many long, s binary, df binary")
+    got = known.join(per, "key").where(100 * F.col("many") >= percent * F.col("n"))
+    tokens = stored(got.select("key", "n", (F.col("n") - F.col("many")).alias("u"), "s", "df"), "tokens")
+    held = batches.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
+    return stored(tokens.dropDuplicates(["key"]), "tokens") if held > known.count() else tokens  # repeated rows of a class
 
 
 def postings(tokens: DataFrame, percent: int, most: int = MOST_L, verify: float = VERIFY) -> DataFrame:
@@ -285,11 +343,11 @@ def verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     split = F.pmod(F.xxhash64("b"), F.ceil(F.col("c") / 1000))
     pairs = stored(pairs, "pairs")
     sizes = stored(pairs.groupBy("a").agg(F.count("*").alias("c")), "sizes")
-    cut = stored(pairs.join(small(sizes, BROADCAST_ROWS), "a").select("a", split.alias("part"), F.col("b").alias("key")), "cut")
+    cut = stored(pairs.join(small(sizes), "a").select("a", split.alias("part"), F.col("b").alias("key")), "cut")
     heads = stored(sizes.select(F.col("a").alias("key"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("c") / 1000) - 1)).alias("part")), "heads")
     sets_ = tokens.select("key", "n", "s")
-    right = sets_.join(small(cut, BROADCAST_ROWS), "key").select("a", "part", "key", "n", "s", F.lit(False).alias("own"))
-    left = sets_.join(small(heads, BROADCAST_ROWS), "key").select(F.col("key").alias("a"), "part", "key", "n", "s", F.lit(True).alias("own"))
+    right = sets_.join(small(cut), "key").select("a", "part", "key", "n", "s", F.lit(False).alias("own"))
+    left = sets_.join(small(heads), "key").select(F.col("key").alias("a"), "part", "key", "n", "s", F.lit(True).alias("own"))
 
     def test(tab: pa.Table) -> pa.Table:
         own = tab["own"].to_numpy()
@@ -325,7 +383,7 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "do
         pairs = left.join(hub, "token").where((F.col("comp") != F.col("ac")) & fits(F.col("n"), F.col("m")))
         found = verified(pairs.select("a", F.col("key").alias("b")).distinct(), tokens, percent)
         edges = found if edges is None else edges.unionByName(found)
-        roots = stored(components(edges), "roots")
+        roots = components(edges)
     left = _open(post, roots).join(sketches(tokens), "key")
     left = stored(left, "open")
     x, y = (left.select("token", *(F.col(c).alias(p + c) for c in ("key", "n", "u", "l", "comp", "k"))) for p in "xy")
@@ -334,7 +392,7 @@ def linked(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "do
     pairs = x.join(y, "token").where("xkey < ykey and xcomp <> ycomp").where(fits(F.col("xn"), F.col("yn")) & near)
     pairs = pairs.groupBy("xkey", "ykey").agg(F.count("*").alias("c"), F.first(F.least("xl", "yl")).alias("l")).where("c >= l")
     edges = edges.unionByName(verified(pairs.select(F.col("xkey").alias("a"), F.col("ykey").alias("b")), tokens, percent))
-    return rows.select("did", "th", "n", "key"), stored(components(edges).select(F.col("id").alias("key"), "root"), "roots")
+    return rows, components(edges).select(F.col("id").alias("key"), "root")
 
 
 def sketches(tokens: DataFrame) -> DataFrame:
@@ -363,18 +421,27 @@ def _open(post: DataFrame, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, th (hash of the text), n_shingles, component_id of every row."""
-    rows, roots = linked(docs, words, percent, doc_id, text)
-    rows = rows.join(roots, "key", "left").select("did", "th", "n", "key", F.coalesce("root", "key").alias("root"))
-    least = rows.where("root is not null").groupBy("root").agg(F.min("did").alias("component_id"), F.count("*").alias("c")).where("c > 1").drop("c")
-    out = rows.join(least, "root", "left")
+    with workspace(docs.sparkSession) as keep:
+        rows, roots = linked(docs, words, percent, doc_id, text)
+        each = rows.where("key is not null").groupBy("key").agg(F.min("did").alias("first"), F.count("*").alias("c"))
+        each = each.join(roots, "key", "left").select("key", "first", "c", F.coalesce("root", "key").alias("root"))
+        least = each.groupBy("root").agg(F.min("first").alias("component_id"), F.sum("c").alias("all")).where("all > 1").drop("all")
+        tied = keep(stored(each.join(least, "root").select("key", "c", "component_id"), "tied"))
+        keep(rows)
+    known = rows.where("key is not null")
+    heavy = small(tied.where(F.col("c") > HOT))
+    light = tied.where(F.col("c") <= HOT).select("key", "component_id")
+    out = known.join(heavy.select("key", "component_id"), "key").unionByName(known.join(heavy.select("key"), "key", "left_anti").join(light, "key", "left"))
+    out = out.unionByName(rows.where("key is null"), allowMissingColumns=True)
     return out.select(F.col("did").alias("doc_id"), "th", F.col("n").alias("n_shingles"), F.coalesce("component_id", "did").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without those that are linked, directly or not, to a document of a smaller id. Of repeated rows with that id all stay."""
     groups = near_duplicates(docs, words, percent, doc_id, text)
-    gone = stored(groups.where("component_id < doc_id").select(F.col("doc_id").alias("_did")).distinct(), "gone")
-    return docs.join(small(gone, BROADCAST_ROWS), F.col(doc_id) == F.col("_did"), "left_anti")
+    (did,) = fresh(docs, "_did")
+    gone = stored(groups.where("component_id < doc_id").select(F.col("doc_id").alias(did)).distinct(), "gone")
+    return docs.join(small(gone), F.col(doc_id) == F.col(did), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,16 +1,17 @@
 """Line dedup by a deletion-neighbourhood join, with DataFrame operations only.
 
-A line is its lower-cased words. Lines of fewer than ``min_words`` words are left alone. Of equal lines the earliest (by
-document id, then line number) stays. A line of ``edit_words`` words or more also goes if an earlier one is within one word
-of it: one word replaced, added or left out (a similarity of 0.9 at least, as edit_words is 10).
+A line is its lower-cased words; blank lines stay. Of equal lines the earliest (by document id, then line number) stays. The
+edit bound is one word: a line also goes if an earlier one, as first met, is one word replaced, added or left out away, and
+the longer of the two has ``edit_words`` words at least (10 by default: 0.9 of the words agree, or more). Longer lines that
+differ in two words both stay.
 
 Plan. Equal lines are first reduced to one row each by a hash aggregate. One edit leaves the first or the last half of the
 words as they are, so only lines that share a half (four hashes a line) go on. Those emit their deletion neighbourhood: a
-hashed key for the line without each of the words in the other half. Equal keys are joined through the earliest line of each key, so a key
-shared by very many lines costs one row a line and no pairs; each partner found is then compared word by word.
+hashed key for the line without each of the words in the other half. Equal keys are joined through the earliest line of each
+key, so a key shared by very many lines costs one row a line and no pairs; each partner found is then compared word by word.
 
-Null and empty texts, short lines and an empty table pass unchanged. Repeated rows count as one document and stay alike.
-Other columns stay as they are.
+Null and empty texts and an empty table pass unchanged. Repeated rows count as one document and stay alike. Other columns
+stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm.common import small, stored, table
+from moraine.functions.sequence import let
+from moraine.llm.common import fresh, marked, marks, small, stored, table, workspace
 from moraine.llm.spans import BLOCK
 
-MIN_WORDS, EDIT_WORDS = 5, 10
-BROADCAST_ROWS = 400_000
+MIN_WORDS, EDIT_WORDS = 1, 10
 
 
 BLANK = " \t\x0b\f\r"
@@ -37,14 +38,14 @@ def tidy(text: Column) -> Column:
     return F.when(rough, F.regexp_replace(low, r"[ \t\x0b\f\r]+", " ")).otherwise(low)
 
 
-def halves(line: Column, n: Column) -> Column:
-    """(tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and one less (2, 3)."""
+def halves(line: Column, n: Column, edit_words: int) -> Column:
+    """(tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and, of lines that may be the longer one, one less (2, 3)."""
     out = []
     for less in (0, 1):
         h = F.floor((n - less) / 2).cast("int")
         ends = (F.call_function("substring_index", line, F.lit(" "), h), F.call_function("substring_index", line, F.lit(" "), -h))
         out += [F.struct(F.lit(2 * less + i).alias("tag"), F.xxhash64(n - less, F.lit(i), e).alias("k")) for i, e in enumerate(ends)]
-    return F.array(*out)
+    return F.when(n >= edit_words, F.array(*out)).when(n == edit_words - 1, F.array(*out[:2]))
 
 
 def running_xor(values: Column) -> Column:
@@ -62,7 +63,7 @@ def running_xor(values: Column) -> Column:
     return F.aggregate(blocks, start(), join, lambda acc: acc["out"])
 
 
-def neighbourhood(lines: DataFrame) -> DataFrame:
+def neighbourhood(lines: DataFrame, edit_words: int) -> DataFrame:
     """(at, kind, key) of the variants of rows (at, n, w, tags): S one word replaced at a place, D one word left out, O the line itself.
 
     tags tells which halves are shared with a line of as many words, or of one word less; a variant is emitted only where
@@ -83,7 +84,7 @@ def neighbourhood(lines: DataFrame) -> DataFrame:
     without = lambda i: F.get("ph", i).bitwiseXOR(F.get("h", i)).bitwiseXOR(F.get("ps", i)).bitwiseXOR(shifted)
     left_out = F.transform(F.array_distinct(F.transform(F.filter(places, lambda i: open_(i, 1)), without)), lambda x: F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, x).alias("key")))
     itself = F.array(F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(1), F.col("n"), total).alias("key")))
-    d = d.withColumns({"replaced": F.when(F.col("tags").bitwiseAND(3) != 0, replaced), "left": F.when(F.col("tags").bitwiseAND(12) != 0, left_out), "itself": itself})
+    d = d.withColumns({"replaced": F.when((F.col("tags").bitwiseAND(3) != 0) & (F.col("n") >= edit_words), replaced), "left": F.when(F.col("tags").bitwiseAND(12) != 0, left_out), "itself": itself})
     none = F.expr("cast(array() as array<struct<kind:int,key:bigint>>)")
     return d.select("at", F.explode(F.concat(F.coalesce("replaced", none), F.coalesce("left", none), "itself")).alias("x")).select("at", "x.kind", "x.key")
 
@@ -106,18 +107,19 @@ def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, edit_words: int = EDIT_WORDS) -> DataFrame:
     """(at, near) of the lines to leave out; at is (did, no, th), near tells edits from exact copies."""
-    lines = numbered(docs, doc_id, text).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1).where(F.col("n") >= min_words)
-    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.when(F.col("n") >= edit_words, halves(F.col("line"), F.col("n"))).alias("ks")), "lines")
+    lines = numbered(docs, doc_id, text).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1).where((F.col("line") != "") & (F.col("n") >= min_words))
+    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), halves(F.col("line"), F.col("n"), max(2, edit_words)).alias("ks")), "lines")
     each = stored(lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("copies"), F.first("ks").alias("ks")), "each")
     keyed = each.where("ks is not null").select("at", F.explode("ks").alias("x")).select("at", "x.tag", "x.k")
     shared = stored(keyed.groupBy("k").agg(F.count_distinct("at").alias("c")).where("c > 1").select("k"), "halves")
     suspects = keyed.join(shared, "k", "left_semi").groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("tag"))).alias("tags"))
-    suspects = stored(suspects.select("at.*", "tags"), "suspects")
-    few = small(suspects, BROADCAST_ROWS).alias("s")
-    at = F.col("l.did").eqNullSafe(F.col("s.did")) & (F.col("l.no") == F.col("s.no")) & (F.col("l.th") == F.col("s.th"))
-    chosen = numbered(docs, doc_id, text).alias("l").join(few, at).select(F.struct("l.did", "l.no", "l.th").alias("at"), "tags", "line").dropDuplicates(["at"])
-    chosen = stored(chosen.select("at", "tags", F.split("line", " ").alias("w")).select("at", "tags", "w", F.size("w").alias("n")), "chosen")
-    keys = stored(neighbourhood(chosen), "keys")
+    suspects = stored(suspects.groupBy("at.did", "at.th").agg(F.collect_list(F.struct("at.no", "tags")).alias("nos")), "suspects")
+    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
+    rows = rows.join(small(suspects).alias("s"), F.col("d.did").eqNullSafe(F.col("s.did")) & (F.col("d.th") == F.col("s.th")))
+    rows = rows.select("d.did", "d.th", F.split(tidy(F.col("t")), "\n", -1).alias("all"), "nos").select("did", "th", "all", F.explode("nos").alias("x"))
+    chosen = rows.select(F.struct("did", "x.no", "th").alias("at"), "x.tags", F.split(F.trim(F.get("all", F.col("x.no"))), " ").alias("w")).dropDuplicates(["at"])
+    chosen = stored(chosen.select("at", "tags", "w", F.size("w").alias("n")), "chosen")
+    keys = stored(neighbourhood(chosen, max(2, edit_words)), "keys")
     least = keys.groupBy("key").agg(*(F.min(F.when(F.col("kind") == k, F.col("at"))).alias(name) for k, name in enumerate("SDO")), F.count("*").alias("c")).where("c > 1").drop("c")
     partner = F.when(F.col("kind") == 0, F.col("S")).when(F.col("kind") == 1, F.col("O")).otherwise(F.col("D"))
     pairs = keys.join(stored(least, "least"), "key").select("at", partner.alias("to")).where(F.col("to") < F.col("at")).distinct()
@@ -129,30 +131,35 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_wor
 
 
 def dropped(docs: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
-    """(_did, _th, _no: line numbers, _near: how many of them are edits) of documents that lose lines, stored."""
-    gone = removed(docs, doc_id, text, **how).select("at.did", "at.th", "at.no", "near").distinct()
-    return stored(gone.groupBy(F.col("did").alias("_did"), F.col("th").alias("_th")).agg(F.collect_set("no").alias("_no"), F.sum(F.col("near").cast("long")).alias("_near")), "dropped")
+    """(did, th, nos: sorted line numbers, near: how many of them are edits) of documents that lose lines, stored."""
+    with workspace(docs.sparkSession) as keep:
+        gone = removed(docs, doc_id, text, **how).select("at.did", "at.th", "at.no", "near").distinct()
+        out = gone.groupBy("did", "th").agg(F.array_sort(F.collect_set("no")).alias("nos"), F.sum(F.col("near").cast("long")).alias("near"))
+        return keep(stored(out, "dropped"))
 
 
-def _with(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.join(small(gone, BROADCAST_ROWS), F.col(doc_id).eqNullSafe(F.col("_did")) & (F.xxhash64(text) == F.col("_th")), "left")
+def _with(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str, str]:
+    """docs with the line numbers that a row loses and the number of edits among them, and the names of these two columns."""
+    names = fresh(docs, "_did", "_th", "_nos", "_near")
+    did, th, nos, near = names
+    side = small(gone).select(*(F.col(c).alias(n) for c, n in zip(("did", "th", "nos", "near"), names, strict=True)))
+    return docs.join(side, F.col(doc_id).eqNullSafe(F.col(did)) & (F.xxhash64(text) == F.col(th)), "left").drop(did, th), nos, near
 
 
-def kept_text(text: Column) -> Column:
-    bad = F.map_from_arrays("_no", F.transform("_no", lambda n: F.lit(True)))
-    some = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.map_contains_key(bad, i)), "\n")
-    return F.when(F.col("_no").isNull(), text).otherwise(some)
+def kept_text(text: Column, nos: Column) -> Column:
+    rest = let(marks(nos, F.transform(nos, lambda n: n + 1)), lambda bits: F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~marked(bits, i)), "\n"))
+    return F.when(nos.isNull(), text).otherwise(rest)
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """docs with text less its later copies of lines; rows and other columns stay."""
-    out = _with(docs, dropped(docs, doc_id, text, **how), doc_id, text)
-    return out.withColumn(text, kept_text(F.col(text))).select(*docs.columns)
+    out, nos, _ = _with(docs, dropped(docs, doc_id, text, **how), doc_id, text)
+    return out.withColumn(text, kept_text(F.col(text), F.col(nos))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = _with(docs, dropped(docs, "doc_id", "text"), "doc_id", "text")
+    out, nos, near = _with(docs, dropped(docs, "doc_id", "text"), "doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
-    n = F.when(F.col("_no").isNull(), F.lit(0)).otherwise(F.size("_no")).cast("long")
-    return out.select("doc_id", F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"), n.alias("n_removed"), F.coalesce("_near", F.lit(0)).cast("long").alias("n_near"), F.sha2(kept_text(text), 256).alias("kept_sha256"))
+    n = F.coalesce(F.when(F.col(nos).isNotNull(), F.size(nos)), F.lit(0)).cast("long")
+    return out.select("doc_id", F.size(F.split(text, "\n", -1)).cast("long").alias("n_lines"), n.alias("n_removed"), F.coalesce(near, F.lit(0)).cast("long").alias("n_near"), F.sha2(kept_text(text, F.col(nos)), 256).alias("kept_sha256"))

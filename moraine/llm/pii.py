@@ -2,11 +2,13 @@
 
 Base formats (email, ip, card, phone) are matched by regular expressions with possessive repeats, so no text makes them
 backtrack without end. Their matches are seeds. Each seed induces lexical patterns: its two words to the left, and its
-neighbours on both sides. Tokens with digits or "@" outside base matches are candidates. Over the graph of patterns and
-values, a pattern's confidence for a kind is the mean score of the distinct values it extracts (seeds of the kind 1, other
-kinds 0, candidates their current score), and a candidate's score is the noisy-or of its patterns; this is repeated for
-``rounds`` rounds. Candidates of a fitting shape that reach ``accept`` through patterns with at least ``support`` seeds
-become spans of that kind. Edges are distinct before any join, and joins are by pattern, which Spark may split when skewed.
+neighbours on both sides; a word that does not end within ``AROUND`` characters of the value induces none. Candidates are
+tokens with a digit or "@", and runs of digits with spaces, brackets, dots or hyphens between them, where no base match is.
+Over the graph of patterns and values, a pattern's confidence for a kind is the mean score of the distinct values it extracts
+(seeds of the kind 1, other kinds 0, candidates their current score), and a candidate's score is the noisy-or of its
+patterns; scores only rise from round to round, and rounds go on until none rises by more than ``settled``. Candidates of a
+fitting shape that reach ``accept`` through patterns with at least ``support`` seeds become spans of that kind. Edges are
+distinct before any join, and joins are by pattern, which Spark may split when skewed.
 
 Null texts count as empty. Empty texts, texts without matches and an empty table give no spans; repeated rows get the same
 spans each; other columns are ignored.
@@ -17,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm.common import small, stored, table
-from moraine.llm.spans import located
+from moraine.llm.common import small, stored, table, workspace
+from moraine.llm.spans import cut_out, located
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -31,10 +33,13 @@ PATTERNS = {
 #: What a text must hold before a pattern is tried.
 CHEAP = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 #: Shapes that a discovered value of a kind may have.
-SHAPES = {"email": r"^[^@\s]+@[^@\s]+$", "ip": r"^[0-9]+(?:[.:][0-9]+){3,}$", "card": r"^(?:[^0-9]*[0-9]){12,24}[^0-9]*$", "phone": r"^\+?(?:[().-]*[0-9]){7,15}$"}
+SHAPES = {"email": r"^[^@\s]+@[^@\s]+$", "ip": r"^[0-9]+(?:[.:][0-9]+){3,}$", "card": r"^(?:[^0-9]*[0-9]){12,24}[^0-9]*$", "phone": r"^\+?(?:[ ().-]*[0-9]){7,15}$"}
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-AROUND = 64
+#: Digits with up to three separators between them.
+GROUPS = r"[(]?+[+]?+[0-9](?:[ ().-]{0,3}+[0-9])++"
+AROUND = 128
 FILL = "\x01"
+MOST_ROUNDS = 100
 SPAN = "array<struct<start:int,end:int,value:string,pre:string,post:string>>"
 
 
@@ -61,40 +66,45 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    found = F.filter(located(text, PATTERNS[kind], AROUND, AROUND), lambda s: F.coalesce(valid(kind, s["value"]), F.lit(False)))
+    found = F.filter(located(text, PATTERNS[kind], AROUND + 1, AROUND + 1), lambda s: F.coalesce(valid(kind, s["value"]), F.lit(False)))
     return F.when(F.contains(text, F.lit("@")) if kind == "email" else text.rlike(CHEAP[kind]), found).otherwise(F.expr(f"cast(array() as {SPAN})"))
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """The text with the spans (sorted, apart) blanked, at its old length."""
-    ends = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    kept = F.zip_with(ends, spans, lambda e, s: F.concat(F.substring(text, e + 1, F.coalesce(s["start"], F.length(text)) - e), F.repeat(F.lit(FILL), F.coalesce(s["end"] - s["start"], F.lit(0)))))
-    return F.when(F.size(spans) > 0, F.array_join(kept, "")).otherwise(text)
-
-
 def contexts(pre: Column, post: Column) -> Column:
-    """Pattern strings of a mention; a context with too few words gives none."""
+    """Pattern strings of a mention; a context with too few whole words gives none. pre and post have one character more than AROUND where the text goes on."""
     norm = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
-    left = norm(F.regexp_extract(pre, r"(\S{1,24}\s+\S{1,24})\s*$", 1))
-    one, after = norm(F.regexp_extract(pre, r"(\S{1,24})\s*$", 1)), norm(F.regexp_extract(post, r"^\s*(\S{1,24})", 1))
+    before, behind = F.when(F.length(pre) > AROUND, pre).otherwise(F.concat(F.lit(" "), pre)), F.when(F.length(post) > AROUND, post).otherwise(F.concat(post, F.lit(" ")))
+    left = norm(F.regexp_extract(before, r"\s(\S+\s+\S+)\s*$", 1))
+    one, after = norm(F.regexp_extract(before, r"\s(\S+)\s*$", 1)), norm(F.regexp_extract(behind, r"^\s*(\S+)\s", 1))
     return F.filter(F.array(F.when(left != "", F.concat(F.lit("L|"), left)), F.when((one != "") & (after != ""), F.concat(F.lit("B|"), one, F.lit("|"), after))), lambda x: x.isNotNull())
 
 
+def tidied(s: Column) -> Column:
+    """The span less quotes, brackets around it and punctuation behind it; round brackets stay where both are there."""
+    value = s["value"]
+    head = F.length(F.regexp_extract(value, r"^(?:[\"'\[<]|\((?![^)]*\)))*+", 0))
+    closed = F.regexp_replace(F.substring(value, head + 1, F.length(value)), r"[\"'\]>,;:!?.]+$", "")
+    closed = F.when(~F.contains(closed, F.lit("(")), F.regexp_replace(closed, r"[\"')\]>,;:!?.]+$", "")).otherwise(closed)
+    start = s["start"] + head
+    return F.struct(start.alias("start"), (start + F.length(closed)).alias("end"), closed.alias("value"), s["pre"].alias("pre"), s["post"].alias("post"))
+
+
 def analysed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(did, th, email, ip, card, phone, cand) for each row, stored."""
     rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     touched = F.col("t").rlike("[0-9@]")
     none = F.expr(f"cast(array() as {SPAN})")
     rows = rows.select("did", "th", "t", *(F.when(touched, base_spans(F.col("t"), k)).otherwise(none).alias(k) for k in KINDS))
-    hidden = F.col("t")
     for k in KINDS:
-        rows = rows.withColumn("t", F.when(touched, masked(hidden, F.col(k))).otherwise(F.lit("")))
-    cand = F.filter(located(F.col("t"), TOKEN, AROUND, AROUND), lambda s: (F.length(s["value"]) >= 6) & ~F.contains(s["value"], F.lit(FILL)))
+        rows = rows.withColumn("t", F.when(touched, cut_out(F.col("t"), F.col(k), FILL)).otherwise(F.lit("")))
+    tokens = F.filter(located(F.col("t"), TOKEN, AROUND + 1, AROUND + 1), lambda s: ~F.contains(s["value"], F.lit(FILL)))
+    groups = F.filter(located(F.col("t"), GROUPS, AROUND + 1, AROUND + 1), lambda s: s["value"].rlike("[ ()]"))
+    cand = F.transform(F.concat(tokens, F.when(F.col("t").rlike("[0-9][ ().-]*[ ()][ ().-]*[0-9]"), groups).otherwise(none)), tidied)
     rows = rows.select("did", "th", *KINDS, F.when(F.col("t").rlike("[0-9@]"), cand).otherwise(none).alias("cand"))
     return stored(rows, "pii")
 
 
-def discover(rows: DataFrame, rounds: int = 3, accept: float = 0.8, support: int = 3) -> DataFrame:
+def discover(rows: DataFrame, accept: float = 0.8, support: int = 3, settled: float = 0.001) -> DataFrame:
     """(did, th, kind, start, end) of spans that contexts reveal."""
     seeds = None
     for k in KINDS:
@@ -103,9 +113,7 @@ def discover(rows: DataFrame, rounds: int = 3, accept: float = 0.8, support: int
     seeds = seeds.groupBy("pattern", "kind", "value").agg(F.lit(1).alias("x")).groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     seeds = stored(seeds, "seeds")
     mentions = rows.select("did", "th", F.explode("cand").alias("s"))
-    tidy = F.regexp_replace("s.value", r"^[\"'(\[<]+|[\"')\]>,;:!?.]+$", "")
-    at = F.col("s.start") + F.length(F.regexp_extract("s.value", r"^[\"'(\[<]*", 0))
-    mentions = mentions.select("did", "th", at.alias("start"), (at + F.length(tidy)).alias("end"), tidy.alias("value"), contexts(F.col("s.pre"), F.col("s.post")).alias("ps"))
+    mentions = mentions.select("did", "th", "s.start", "s.end", "s.value", contexts(F.col("s.pre"), F.col("s.post")).alias("ps")).where("value <> ''")
     fits = F.array_compact(F.array(*(F.when(F.col("value").rlike(SHAPES[k]), F.lit(k)) for k in KINDS)))
     mentions = stored(mentions.withColumn("fits", fits), "mentions")
     edges = mentions.select("value", "fits", F.explode("ps").alias("pattern")).groupBy("pattern", "value").agg(F.first("fits").alias("fits"))
@@ -115,12 +123,16 @@ def discover(rows: DataFrame, rounds: int = 3, accept: float = 0.8, support: int
     strong = seeds.where(F.col("seeds") >= support).join(all_seeds, "pattern").join(totals, "pattern")
     strong = stored(strong, "patterns")
     graph = stored(edges.select("pattern", "value", F.explode("fits").alias("kind")).join(strong, ["pattern", "kind"]), "graph")
-    score = graph.select("kind", "value").distinct().withColumn("score", F.lit(0.0))
-    for _ in range(rounds):
+    score = stored(graph.select("kind", "value").distinct().withColumn("score", F.lit(0.0)), "scores")
+    for _ in range(MOST_ROUNDS):
         gained = graph.join(score, ["kind", "value"]).groupBy("pattern", "kind").agg(F.sum("score").alias("gained"))
         sure = gained.join(strong, ["pattern", "kind"]).select("pattern", "kind", ((F.col("seeds") + F.col("gained")) / (F.col("all_seeds") + F.col("cands"))).alias("conf"))
-        score = graph.select("pattern", "kind", "value").join(sure, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))).alias("score"))
-        score = stored(score, "scores")
+        new = graph.select("pattern", "kind", "value").join(sure, ["pattern", "kind"]).groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999)))))).alias("score"))
+        was, score = score, stored(new, "scores")
+        if (score.join(was.withColumnRenamed("score", "was"), ["kind", "value"]).agg(F.max(F.col("score") - F.col("was"))).first()[0] or 0) <= settled:
+            break
+    else:
+        raise RuntimeError("scores did not settle")
     found = score.where(F.col("score") >= accept)
     best = found.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
     return mentions.where(F.size("fits") > 0).join(best, "value").where(F.array_contains("fits", F.col("kind"))).select("did", "th", "kind", "start", "end").distinct()
@@ -128,9 +140,10 @@ def discover(rows: DataFrame, rounds: int = 3, accept: float = 0.8, support: int
 
 def detect(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """doc_id, th (hash of the text), arrays of base spans by kind, and added: array<struct<kind,start,end>>."""
-    rows = analysed(docs, doc_id, text)
-    extra = stored(discover(rows, **how).groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "end"))).alias("added")), "added")
-    out = rows.alias("r").join(small(extra, 500_000).alias("x"), F.col("r.did").eqNullSafe(F.col("x.did")) & (F.col("r.th") == F.col("x.th")), "left")
+    with workspace(docs.sparkSession) as keep:
+        rows = keep(analysed(docs, doc_id, text))
+        extra = keep(stored(discover(rows, **how).groupBy("did", "th").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "end"))).alias("added")), "added"))
+    out = rows.alias("r").join(small(extra).alias("x"), F.col("r.did").eqNullSafe(F.col("x.did")) & (F.col("r.th") == F.col("x.th")), "left")
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")
     return out.select(F.col("r.did").alias("doc_id"), F.col("r.th").alias("th"), *KINDS, F.coalesce("added", none).alias("added"))
 

@@ -1,13 +1,16 @@
 """Quality classifier: hashed word and character n-gram vectors averaged per document, softmax on top, trained by SGD.
 
-Features of a text are its words, its byte 3-, 4- and 5-grams, and its word 2-, 3- and 4-grams whose first and last word
-agree (one feature for each length), each hashed to one of ``buckets`` rows of a learned table (dim floats a row). A document is the mean of its rows; a linear layer and a softmax give the class. Training is plain
-numpy stochastic gradient descent on the driver over a bounded sample: the ``sample`` labelled rows of the training fold
-with the least md5 of the id (all of them where there are fewer), with rows of one class weighted to balance the other's.
+Features of a text are its words, its word 2- and 3-grams and its byte 3-, 4- and 5-grams, and for every word that returns
+after one, two or three words, whichever it is, that distance. Each is hashed to one of ``buckets`` rows of a learned table
+(dim floats a row). A document is the mean of its rows; a linear layer and a softmax give the class.
+Training is plain numpy stochastic gradient descent on the driver over a bounded sample: the labelled rows of the training
+fold with the least md5 of the id, ``sample`` of them at most (half of either class; where one has fewer, more of the other),
+and of those in that order as many as have ``sample_bytes`` bytes of text together. Rows of one class are weighted to balance
+the other's. An id with both labels counts as label 1; several texts of an id count each, repeated rows once.
 A trained model is one number per bucket (the layer applied to the table), so scoring sums table entries over whole texts.
 
 Null and empty texts get the score of the bias alone. With no usable labels, or of one class only, scores are 0.5
-throughout or near that class. Repeated rows score alike. Columns other than the id and the text are never looked at.
+throughout or near that class. A null id is not held out. Repeated rows score alike. Columns other than the id and the text are never looked at.
 """
 
 from __future__ import annotations
@@ -21,28 +24,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from moraine.llm.common import table
-from moraine.llm.textbytes import flat, give_back, lean, mix, powers, span_hash, word_spans
+from moraine.llm.common import drop, stored, table
+from moraine.llm.textbytes import flat, give_back, lean, mix, span_hash, word_spans
 
-SAMPLE = 4000
+SAMPLE, SAMPLE_BYTES = 6000, 32 << 20
 GAP = np.zeros(256, bool)
 GAP[[9, 10, 11, 12, 13, 32]] = True
 PIECE = 1 << 17
+SHIFT = np.uint64(0x9DDFEA08EB382D69)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket of each feature, document of each feature) for words, then 3-, 4- and 5-grams."""
+    """(bucket of each feature, document of each feature) for words, word 2- and 3-grams, then byte 3-, 4- and 5-grams."""
     mask = np.uint64(buckets - 1)
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    up, _ = powers(len(data))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
     start, end, _ = word_spans(data, offsets, GAP)
-    word = span_hash(sums, start, end)
-    yield (word & mask).astype(np.int64), doc[start]
-    for back in (1, 2, 3):  # word n-grams that begin and end in the same word, whichever it is
-        again = np.flatnonzero((word[back:] == word[:-back]) & (doc[start[back:]] == doc[start[:-back]])) if len(word) > back else np.zeros(0, np.int64)
-        yield np.full(len(again), back, np.int64), doc[start[again]]
+    word, whose = span_hash(data, start, end), doc[start]
+    yield (word & mask).astype(np.int64), whose
+    run = word
+    for n in (2, 3):
+        if len(word) < n:
+            break
+        inside = whose[n - 1 :] == whose[: len(word) - n + 1]
+        run = mix(run[: len(inside)] * SHIFT + word[n - 1 :])
+        yield (run[inside] & mask).astype(np.int64), whose[: len(inside)][inside]
+    for back in (1, 2, 3):
+        if len(word) > back:
+            again = (word[back:] == word[:-back]) & (whose[back:] == whose[:-back])
+            code = int(mix(np.array([back], np.uint64))[0] & mask)
+            yield np.full(again.sum(), code), whose[back:][again]
     wide = data.astype(np.uint64)
     h = wide[:-1] << np.uint64(8) | wide[1:] if len(wide) > 1 else wide[:0]
     for n in (3, 4, 5):
@@ -91,7 +101,9 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
     for t in texts:
         data, off = flat(pa.array([t or ""]))
         code = np.concatenate([c for c, _ in grams(data, off, buckets)] or [np.zeros(0, np.int64)])
-        code, n = np.unique(code, return_counts=True)
+        n = np.bincount(code, minlength=buckets)
+        code = np.flatnonzero(n)
+        n = n[code]
         cells.append((code.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
     steps, done = epochs * -(-len(y) // batch), 0
     for _ in range(epochs):
@@ -100,11 +112,7 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
             ids = order[at : at + batch]
             step = rate * (1 - done / steps)
             done += 1
-            code = np.concatenate([cells[i][0] for i in ids])
-            part = np.concatenate([cells[i][1] for i in ids])
-            own = np.repeat(np.arange(len(ids)), [len(cells[i][0]) for i in ids])
-            table_ = rows[code]
-            mean = np.stack([np.bincount(own, table_[:, k] * part, minlength=len(ids)) for k in range(dim)], 1)
+            mean = np.stack([cells[i][1] @ rows[cells[i][0]] for i in ids])
             z = mean @ layer + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
@@ -113,34 +121,36 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
             back = grad @ layer.T
             layer -= step / 40 * (mean.T @ grad).astype(np.float32)
             bias -= step / 40 * grad.sum(0)
-            np.subtract.at(rows, code, step * back[own] * part[:, None]) if len(code) < 256 else _descend(rows, code, step * back[own] * part[:, None])
+            for i, change in zip(ids, step * back, strict=True):  # a text's buckets are distinct
+                rows[cells[i][0]] -= cells[i][1][:, None] * change
     return Model(rows @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0])
 
 
-def _descend(rows: np.ndarray, code: np.ndarray, change: np.ndarray) -> None:
-    """rows[code] -= change, with repeated codes summed first."""
-    order = np.argsort(code, kind="stable")
-    code, change = code[order], change[order]
-    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-    rows[code[first]] -= np.add.reduceat(change, first, axis=0)
-
-
 def held_out(doc_id) -> F.Column:
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, **how) -> Model:
-    """Fit on at most ``sample`` labelled rows of the training fold; rows with null id, text or label are left out."""
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, **how) -> Model:
+    """Fit on at most ``sample`` labelled rows of the training fold, of ``sample_bytes`` bytes at most; rows with null id, text or label are left out."""
     known = labels.select(F.col(doc_id).alias("did"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("did").isNotNull()).where(~held_out("did"))
     known = known.groupBy("did").agg(F.max("y").alias("y"))
-    # the bound: an equal number from each class first, by md5 of the id
-    ranked = [known.where(F.col("y") == k).orderBy(F.md5(F.col("did").cast("string").cast("binary")), "did").limit(sample // 2) for k in (0, 1)]
-    chosen = F.broadcast(ranked[0].unionByName(ranked[1]))  # sample rows at most
-    got = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(chosen, "did").toArrow()
-    got = got.sort_by([("did", "ascending"), ("t", "ascending")])
-    model = fit((t.as_py() for t in got["t"]), got["y"].to_pylist(), **how)
-    del got
+    order = F.md5(F.col("did").cast("string").cast("binary"))
+    ranked = [known.where(F.col("y") == k).orderBy(order, "did").limit(sample) for k in (0, 1)]
+    chosen = F.broadcast(ranked[0].unionByName(ranked[1]))  # 2 * sample rows at most
+    got = docs.select(F.col(doc_id).alias("did"), F.col(text).alias("t")).where(F.col("t").isNotNull()).join(chosen, "did")
+    own = F.md5(F.concat_ws("|", order, F.xxhash64("t")).cast("binary"))
+    got = stored(got.select(F.concat(order, own).alias("o"), "y", "t", F.octet_length("t").alias("size")).dropDuplicates(["o"]), "sample")
+    each = [got.where(F.col("y") == k).select("o", "size").orderBy("o").limit(sample).collect() for k in (0, 1)]
+    room = [max(sample // 2, sample - len(each[1 - k])) for k in (0, 1)]
+    rows = sorted((r.o, r.size, k) for k in (0, 1) for r in each[k][: room[k]])
+    rows = rows[: int(np.searchsorted(np.cumsum([r[1] for r in rows]), sample_bytes, "right"))]
+    last = {k: o for o, _, k in rows}  # the last of each class
+    take = F.coalesce(*(F.when(F.col("y") == k, F.col("o") <= o) for k, o in last.items()), F.lit(False))
+    part = got.where(take).orderBy("o").select("t", "y").toArrow()
+    model = fit((t.as_py() for t in part["t"]), part["y"].to_pylist(), **how)
+    del part
     give_back()
+    drop(got)
     return model
 
 

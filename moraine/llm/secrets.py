@@ -1,8 +1,8 @@
 """Secret scan: base formats, and formats inferred from labelled credentials.
 
 Base matches (assign, access, hex) label their credential. For each kind, up to ``sample`` distinct labelled values (those
-of least md5) are read as class symbols and grown into a prefix tree on the driver; statistically compatible states are
-merged into a probabilistic automaton. Labelled values may have any length; where values of length n differ at every
+of least md5) are read as class symbols and grown into a prefix tree on the driver; statistically compatible states, of
+whatever depth, are merged into a probabilistic automaton, beside which the lengths of the labelled values are kept. Labelled values may have any length; where values of length n differ at every
 depth, merging takes time in the order of n squared. Every other token of 8 or more credential characters, in every
 text, is scored by each automaton, and one whose log-likelihood per symbol reaches that of 98 in 100 labelled values is
 reported as that kind. Dots may belong to a credential or not: of the runs of a token's dotted parts the longest that an

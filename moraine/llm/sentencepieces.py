@@ -108,6 +108,8 @@ class Codec:
         self.spec = spec = parse(data)
         if spec.suffix or not spec.escape or spec.kind not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models with escaped, leading white space")
+        if any(k == USER for _, _, k in spec.pieces):
+            raise ValueError("models with user-defined pieces, which are matched before all others, are not supported")
         unknown = next((i for i, x in enumerate(spec.pieces) if x[2] == UNKNOWN), None)
         if spec.kind == UNIGRAM:  # only normal and user pieces may match a text
             low = min((s for _, s, _ in spec.pieces), default=0.0) - 1e6

@@ -8,11 +8,15 @@ One suffix array over a corpus cannot be held by one machine, so equal strings a
 hashes of the 50-byte grams of a window the least one (leftmost on ties) is its anchor, and consecutive windows of one anchor
 form a segment. Equal windows have equal anchors, so a window can repeat only among segments of its anchor.
 
+Equal segments are told by two hashes of 64 bits, of the anchor gram and of all their bytes; windows of other segments are
+told by their bytes, as the suffix order has them.
+
 1. Anchors are counted by a hash aggregate; those seen once are done with. Segments of the others are reduced to distinct
    ones with their number and first place, so groups of copies collapse before any text moves.
 2. Texts of distinct segments that share an anchor with different ones go, by anchor, to tasks of about ``task_bytes``.
    A task builds the suffix order of its segments to a depth of ``size`` bytes; previous and next smaller positions in that
-   order tell which windows have an earlier and which a later match (longest previous factor of at least ``size``).
+   order tell which windows have an earlier and which a later match: the longest-previous-factor array, read at the one
+   length that matters (is it ``size`` at least?).
 3. An anchor with more than ``most`` distinct segments is not sent to a task: its windows are compared through a hash
    aggregate with partial sums instead, which is exact too and spreads over the cluster.
 
@@ -31,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from moraine.llm.common import small, stored, table
-from moraine.llm.suffixes import matched
+from moraine.llm.common import fresh, small, stored, table, workspace
+from moraine.llm.suffixes import factors
 from moraine.llm.textbytes import flat, give_back, lean, mix, powers, prefix_hash, span_hash
 
 SIZE, GRAM = 200, 50
@@ -70,7 +74,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, size: int, gram: int) -> tupl
     if not len(start):
         return none
     ends = np.flatnonzero(inside & np.r_[fresh[1:] | ~inside[1:], True])
-    return start, ends - start + 1, own[at[start]], span_hash(sums, start, ends + size)
+    return start, ends - start + 1, own[at[start]], span_hash(data, start, ends + size)
 
 
 def pieces(offsets: np.ndarray, size: int) -> Iterator[tuple[int, int, int, int]]:
@@ -93,7 +97,7 @@ def listed(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.List
 
 def segments(docs: DataFrame, doc_id: str, text: str, size: int, gram: int) -> DataFrame:
     """did, th, and arrays mh (anchor), sh (segment), st (byte start), nw (windows) of each row, stored."""
-    kept = docs.select(F.col(doc_id).alias("did"), F.hash(text).alias("th"), F.col(text).alias("t"))
+    kept = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
     kind = dict(kept.dtypes)["did"]
 
     def run(batches):
@@ -113,7 +117,7 @@ def segments(docs: DataFrame, doc_id: str, text: str, size: int, gram: int) -> D
                 ["did", "th", "mh", "sh", "st", "nw"],
             )
 
-    return stored(kept.mapInArrow(lean(run), f"did {kind}, th int, mh array<long>, sh array<long>, st array<int>, nw array<int>"), "segments")
+    return stored(kept.mapInArrow(lean(run), f"did {kind}, th long, mh array<long>, sh array<long>, st array<int>, nw array<int>"), "segments")
 
 
 def row_is(a: str, b: str) -> Column:
@@ -123,7 +127,7 @@ def row_is(a: str, b: str) -> Column:
 def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """(mh, sh, nw, pd, ps, body): bytes of the wanted segments (did, th, mh, sh, st, nw), cut from their documents."""
     lists = stored(wanted.groupBy("did", "th").agg(F.collect_list(F.struct("mh", "sh", "st", "nw")).alias("s")), "lists")
-    rows = docs.select(F.col(doc_id).alias("did"), F.hash(text).alias("th"), F.col(text).alias("t")).alias("d")
+    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
     got = rows.join(lists.alias("l"), row_is("d", "l")).select("d.did", "d.th", "t", "s")
     kind = dict(got.dtypes)["did"]
 
@@ -136,7 +140,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, size: i
                 one = lambda c: pa.repeat(batch[c][i], len(st))  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([pa.array(mh), pa.array(sh), pa.array(nw), one("did"), one("th"), pa.array(st), pa.array(cut, pa.binary())], ["mh", "sh", "nw", "did", "th", "st", "body"])
 
-    return got.mapInArrow(lean(run), f"mh long, sh long, nw int, did {kind}, th int, st int, body binary").dropDuplicates(["mh", "sh"])
+    return got.mapInArrow(lean(run), f"mh long, sh long, nw int, did {kind}, th long, st int, body binary").dropDuplicates(["mh", "sh"])
 
 
 RANGES = "mh long, sh long, lo int, hi int"
@@ -156,7 +160,7 @@ def compared(tab: pa.Table, size: int, later_too: bool) -> pa.Table:
     at = np.r_[0, np.cumsum([len(b) for b in body])][:-1]
     first = np.repeat(np.r_[0, np.cumsum(nw)][:-1], nw)
     starts = np.repeat(at, nw) + np.arange(nw.sum()) - first
-    earlier, later = matched(data, starts, size)
+    earlier, later = factors(data, starts, size)
     hit = earlier | later if later_too else earlier
     # a range never crosses from one segment to the next
     part = np.repeat(np.arange(len(nw)), nw)
@@ -179,12 +183,12 @@ def spread(bodies: DataFrame, size: int, later_too: bool) -> DataFrame:
             for i in range(batch.num_rows):
                 data = np.frombuffer(batch["body"][i].as_py(), np.uint8)
                 n = batch["nw"][i].as_py()
-                sums, at = prefix_hash(data), np.arange(n)
-                wh = span_hash(sums, at, at + size).view(np.int64)
+                at = np.arange(n)
+                wh = span_hash(data, at, at + size).view(np.int64)
                 one = lambda c: pa.repeat(batch[c][i], n)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([one("mh"), one("sh"), pa.array(at.astype(np.int32)), pa.array(wh), one("did"), pa.array(batch["st"][i].as_py() + at), one("th")], ["mh", "sh", "off", "wh", "did", "place", "th"])
 
-    windows = stored(bodies.mapInArrow(lean(run), f"mh long, sh long, off int, wh long, did {kind}, place long, th int"), "windows")
+    windows = stored(bodies.mapInArrow(lean(run), f"mh long, sh long, off int, wh long, did {kind}, place long, th long"), "windows")
     where = F.struct("did", "place", "th")
     shared = windows.groupBy("mh", "wh").agg(F.count("*").alias("c"), F.min(where).alias("first")).where("c > 1").select("mh", "wh", "first")
     hits = windows.join(stored(shared, "shared"), ["mh", "wh"])
@@ -199,35 +203,36 @@ def spans(docs: DataFrame, size: int = SIZE, keep: str = "first", doc_id: str =
         raise ValueError((keep, size))
     gram = gram or max(8, size // 4)
     all_ = keep == "none"
-    rows = segments(docs, doc_id, text, size, gram)
-    each = rows.select("did", "th", F.explode(F.arrays_zip("mh", "sh", "st", "nw")).alias("x")).select("did", "th", "x.mh", "x.sh", "x.st", "x.nw")
-    repeated = stored(each.groupBy("mh").agg(F.count("*").alias("c"), F.min("sh").alias("a"), F.max("sh").alias("b")).where("c > 1").select("mh", (F.col("a") != F.col("b")).alias("mixed")), "anchors")
-    placed = stored(each.join(repeated, "mh"), "placed")
-    kinds = placed.groupBy("mh", "sh", "nw", "mixed").agg(F.count("*").alias("c"), F.min(F.struct("did", "st", "th")).alias("first"))
-    kinds = stored(kinds, "kinds")
-    mixed = kinds.where("mixed").select("mh", "sh", "nw", "first.*")
-    width = mixed.groupBy("mh").agg(F.count("*").alias("n"), F.sum(F.col("nw") + size - 1).alias("bytes"))
-    width = stored(width, "width")
-    hot = width.where(F.col("n") > most).select("mh")
-    total = width.where(F.col("n") <= most).agg(F.sum("bytes")).first()[0] or 0
-    tasks = max(1, -(-total // task_bytes))
-    bodies = stored(texts_of(docs, mixed, doc_id, text, size), "bodies")
-    usual = bodies.join(small(stored(hot, "hot"), 100_000), "mh", "left_anti").withColumn("task", F.pmod(F.xxhash64("mh"), F.lit(tasks)))
-    found = usual.groupBy("task").applyInArrow(lambda tab: compared(tab.sort_by([("did", "ascending"), ("st", "ascending"), ("th", "ascending")]), size, all_), RANGES)
-    if hot.limit(1).count():
-        found = found.unionByName(spread(bodies.join(small(stored(hot, "hot"), 100_000), "mh", "left_semi"), size, all_))
-    found = stored(found, "found")
-    if all_:  # windows of a segment seen twice all repeat
-        copies = kinds.where("mixed and c > 1").select("mh", "sh", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
-        whole = placed.where("not mixed").select("did", "th", "st", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
-        some = placed.where("mixed").select("did", "th", "mh", "sh", "st").join(found.unionByName(copies), ["mh", "sh"]).select("did", "th", "st", "lo", "hi")
-    else:  # of a segment, only its first place can hold first copies
-        firsts = kinds.select("mh", "sh", F.col("first").alias("f"))
-        own = placed.join(firsts, ["mh", "sh"]).withColumn("is_first", F.struct("did", "st", "th") == F.col("f"))
-        whole = own.where("not is_first").select("did", "th", "st", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
-        some = own.where("is_first").select("did", "th", "mh", "sh", "st").join(found, ["mh", "sh"]).select("did", "th", "st", "lo", "hi")
-    cover = whole.unionByName(some).select("did", "th", F.struct((F.col("st") + F.col("lo")).alias("a"), (F.col("st") + F.col("hi") + size).alias("b")).alias("s"))
-    return stored(cover.groupBy("did", "th").agg(F.collect_list("s").alias("s")), "spans")
+    with workspace(docs.sparkSession) as keep_:
+        rows = segments(docs, doc_id, text, size, gram)
+        each = rows.select("did", "th", F.explode(F.arrays_zip("mh", "sh", "st", "nw")).alias("x")).select("did", "th", "x.mh", "x.sh", "x.st", "x.nw")
+        repeated = stored(each.groupBy("mh").agg(F.count("*").alias("c"), F.min("sh").alias("a"), F.max("sh").alias("b")).where("c > 1").select("mh", (F.col("a") != F.col("b")).alias("mixed")), "anchors")
+        placed = stored(each.join(repeated, "mh"), "placed")
+        kinds = placed.groupBy("mh", "sh", "nw", "mixed").agg(F.count("*").alias("c"), F.min(F.struct("did", "st", "th")).alias("first"))
+        kinds = stored(kinds, "kinds")
+        mixed = kinds.where("mixed").select("mh", "sh", "nw", "first.*")
+        width = mixed.groupBy("mh").agg(F.count("*").alias("n"), F.sum(F.col("nw") + size - 1).alias("bytes"))
+        width = stored(width, "width")
+        hot = stored(width.where(F.col("n") > most).select("mh"), "hot")
+        total = width.where(F.col("n") <= most).agg(F.sum("bytes")).first()[0] or 0
+        tasks = max(1, -(-total // task_bytes))
+        bodies = stored(texts_of(docs, mixed, doc_id, text, size), "bodies")
+        usual = bodies.join(small(hot), "mh", "left_anti").withColumn("task", F.pmod(F.xxhash64("mh"), F.lit(tasks)))
+        found = usual.groupBy("task").applyInArrow(lambda tab: compared(tab.sort_by([("did", "ascending"), ("st", "ascending"), ("th", "ascending")]), size, all_), RANGES)
+        if hot.limit(1).count():
+            found = found.unionByName(spread(bodies.join(small(hot), "mh", "left_semi"), size, all_))
+        found = stored(found, "found")
+        if all_:  # windows of a segment seen twice all repeat
+            copies = kinds.where("mixed and c > 1").select("mh", "sh", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
+            whole = placed.where("not mixed").select("did", "th", "st", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
+            some = placed.where("mixed").select("did", "th", "mh", "sh", "st").join(found.unionByName(copies), ["mh", "sh"]).select("did", "th", "st", "lo", "hi")
+        else:  # of a segment, only its first place can hold first copies
+            firsts = kinds.select("mh", "sh", F.col("first").alias("f"))
+            own = placed.join(firsts, ["mh", "sh"]).withColumn("is_first", F.struct("did", "st", "th") == F.col("f"))
+            whole = own.where("not is_first").select("did", "th", "st", F.lit(0).alias("lo"), (F.col("nw") - 1).alias("hi"))
+            some = own.where("is_first").select("did", "th", "mh", "sh", "st").join(found, ["mh", "sh"]).select("did", "th", "st", "lo", "hi")
+        cover = whole.unionByName(some).select("did", "th", F.struct((F.col("st") + F.col("lo")).alias("a"), (F.col("st") + F.col("hi") + size).alias("b")).alias("s"))
+        return keep_(stored(cover.groupBy("did", "th").agg(F.collect_list("s").alias("s")), "spans"))
 
 
 def merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,9 +243,11 @@ def merged(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[np.r_[np.flatnonzero(new)[1:] - 1, len(a) - 1]] if len(a) else b
 
 
-def _with(docs: DataFrame, cover: DataFrame, doc_id: str, text: str) -> DataFrame:
-    side = cover.select(F.col("did").alias("_did"), F.col("th").alias("_th"), F.col("s").alias("_s"))
-    return docs.join(side, F.col(doc_id).eqNullSafe(F.col("_did")) & (F.hash(text) == F.col("_th")), "left").drop("_did", "_th")
+def _with(docs: DataFrame, cover: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    """docs with the spans of each row, and the name of their column."""
+    did, th, s = fresh(docs, "_did", "_th", "_s")
+    side = cover.select(F.col("did").alias(did), F.col("th").alias(th), F.col("s").alias(s))
+    return docs.join(side, F.col(doc_id).eqNullSafe(F.col(did)) & (F.xxhash64(text) == F.col(th)), "left").drop(did, th), s
 
 
 def cut(body: bytes, s) -> tuple[bytes, int, int]:
@@ -255,7 +262,7 @@ def cut(body: bytes, s) -> tuple[bytes, int, int]:
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     cover = spans(docs, doc_id=doc_id, text=text, **how)
-    rows = _with(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), cover, "doc_id", "text")
+    rows, own = _with(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), cover, "doc_id", "text")
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches):
@@ -263,7 +270,7 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -
             out = []
             for i in range(batch.num_rows):
                 body = (batch["text"][i].as_py() or "").encode()
-                rest, gone, n = cut(body, batch["_s"][i].values)
+                rest, gone, n = cut(body, batch[own][i].values)
                 out.append((len(body), gone, n, hashlib.sha256(rest).hexdigest()))
             cols = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -273,12 +280,12 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -
 
 def dedup_substrings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """docs with text less the covered bytes; a character cut in two loses its other bytes too. Null texts stay null."""
-    rows = _with(docs, spans(docs, doc_id=doc_id, text=text, **how), doc_id, text)
+    rows, own = _with(docs, spans(docs, doc_id=doc_id, text=text, **how), doc_id, text)
 
     def run(batches):
         for batch in batches:
-            texts = [None if (t := batch[text][i].as_py()) is None else cut(t.encode(), batch["_s"][i].values)[0].decode("utf-8", "ignore") for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text else batch[n] for n in batch.schema.names if n != "_s"], [n for n in batch.schema.names if n != "_s"])
+            texts = [None if (t := batch[text][i].as_py()) is None else cut(t.encode(), batch[own][i].values)[0].decode("utf-8", "ignore") for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text else batch[n] for n in batch.schema.names if n != own], [n for n in batch.schema.names if n != own])
 
     return rows.mapInArrow(lean(run), docs.schema)
 

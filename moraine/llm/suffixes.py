@@ -19,55 +19,6 @@ def smaller_neighbours(sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return previous(sa), len(sa) - 1 - previous(sa[::-1])[::-1]
 
 
-def lpf(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(length, source): longest previous factor of every position and an earlier start of it (-1 where the length is 0)."""
-    n = len(text)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    rank = np.frombuffer(text, np.uint8).astype(np.int64)
-    h = 1
-    while True:
-        pair = rank * (n + 257) + np.r_[rank[h:] + 1, np.zeros(min(h, n), np.int64)][:n]
-        rank = np.unique(pair, return_inverse=True)[1].astype(np.int64)
-        if h >= n or rank.max() == n - 1:
-            break
-        h *= 2
-    sa = np.argsort(rank)
-    lcp = np.zeros(n + 1, np.int64)  # lcp[r] of places r-1 and r
-    k = 0
-    for i in range(n):
-        if rank[i]:
-            j = sa[rank[i] - 1]
-            while i + k < n and j + k < n and text[i + k] == text[j + k]:
-                k += 1
-            lcp[rank[i]] = k
-            k = max(0, k - 1)
-        else:
-            k = 0
-    before, after = smaller_neighbours(sa)
-    levels = [lcp]
-    while 2 ** len(levels) <= n:
-        prev, half = levels[-1], 2 ** (len(levels) - 1)
-        levels.append(np.minimum(prev[:-half], prev[half:]))
-
-    def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Minimum of lcp[a..b], a <= b."""
-        level = np.floor(np.log2(b - a + 1)).astype(int)
-        return np.array([min(levels[v][x], levels[v][y - 2**v + 1]) for x, y, v in zip(a, b, level, strict=True)], np.int64)
-
-    place = np.arange(n)
-    left, right = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    has = before >= 0
-    left[has] = least(before[has] + 1, place[has])
-    has = after < n
-    right[has] = least(place[has] + 1, after[has])
-    length = np.maximum(left, right)
-    source = np.where(left >= right, sa[np.maximum(before, 0)], sa[np.minimum(after, n - 1)])
-    out, from_ = np.zeros(n, np.int64), np.full(n, -1)
-    out[sa], from_[sa] = length, np.where(length > 0, source, -1)
-    return out, from_
-
-
 def order_to(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(order, same): starts in suffix order to a depth of ``size`` bytes, ties by position; same[r] tells that places r-1 and r agree in all of them.
 
@@ -109,10 +60,10 @@ def order_to(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarra
     return starts[order], np.r_[False, (a[1:] == a[:-1]) & (b[1:] == b[:-1])]
 
 
-def matched(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(earlier, later): whether the longest previous, and the longest next, factor of each start has ``size`` bytes.
+def factors(data: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(earlier, later): whether the longest previous, and the longest next, factor of each start has ``size`` bytes or more.
 
-    Both come from the nearest smaller positions in suffix order: a start has an earlier match of that length if such a
+    These are the entries of the longest-previous-factor array compared with ``size``, which is all that a cut needs. Both come from the nearest smaller positions in suffix order: a start has an earlier match of that length if such a
     neighbour lies in its run of equal prefixes, and it gives the neighbour a later one.
     """
     order, same = order_to(data, starts, size)

@@ -1,9 +1,10 @@
-"""Vectorised work on batches of texts as one byte array: offsets, words, polynomial hashes."""
+"""Vectorised work on batches of texts as one byte array: offsets, words, hashes."""
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -52,17 +53,38 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Sums of (byte + 1) * BASE**i before each place; two of them give any substring's hash."""
+    """Sums of (byte + 1) * BASE**i before each place; two of them give any substring's number.
+
+    Such a number is quick to have for every place, but texts can be made whose numbers agree (Thue-Morse words). So it may
+    choose where things meet, and never says that they are equal: span_hash() does.
+    """
     up, _ = powers(len(data))
     out = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=out[1:])
     return out
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Of the substrings start..end, independent of where they stand."""
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * MIX2)
+LONG = 1024
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the substrings start..end: 8 bytes after 8 bytes through a bijection; of more than LONG bytes, BLAKE2b."""
+    size = (end - start).astype(np.int64)
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    word = np.ndarray((len(data) + 1,), np.dtype("<u8"), padded.data, strides=(1,))  # the 8 bytes from each place on
+    out = mix(size.astype(np.uint64) * MIX2 + MIX1)
+    for i in np.flatnonzero(size > LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    live, at = np.flatnonzero((size > 0) & (size <= LONG)), 0
+    while len(live):
+        left = size[live] - at
+        part = word[start[live] + at]
+        short = left < 8
+        part = np.where(short, part & ((np.uint64(1) << (np.where(short, left, 0).astype(np.uint64) * np.uint64(8))) - np.uint64(1)), part)
+        out[live] = mix((out[live] ^ part) * MIX1 + MIX2)
+        live, at = live[left > 8], at + 8
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

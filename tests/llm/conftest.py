@@ -2,6 +2,10 @@ import random
 
 import pytest
 
+CLASH = ("key", "score", "t", "did", "n", "_did", "_th", "_no", "_nos", "_near", "_s", "_spans", "_score", "_was_blank", "s", "at")
+CLASH_SCHEMA = "doc_id long, text string, th int, " + ", ".join(f"`{c}` string" for c in CLASH)
+CLASH_VALUES = (1, *CLASH)
+
 
 @pytest.fixture(scope="session")
 def small_sf():
@@ -20,10 +24,10 @@ def hard_texts():
 @pytest.fixture(scope="session")
 def hard_docs(spark, hard_texts):
     """With columns whose names clash with those the operators use inside."""
-    rows = [(i, t, "x", 1, "y") for i, t in enumerate(hard_texts)] + [(3, hard_texts[3], "x", 1, "y"), (20, hard_texts[20], "x", 1, "y")]
-    return spark.createDataFrame(rows, "doc_id long, text string, key string, th int, score string").repartition(3)
+    rows = [(i, t, *CLASH_VALUES) for i, t in enumerate(hard_texts)] + [(i, hard_texts[i], *CLASH_VALUES) for i in (3, 20)]
+    return spark.createDataFrame(rows, CLASH_SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="session")
 def empty_docs(spark):
-    return spark.createDataFrame([], "doc_id long, text string, key string, th int, score string")
+    return spark.createDataFrame([], CLASH_SCHEMA)

@@ -2,7 +2,9 @@ from pathlib import Path
 
 import pytest
 
-from moraine.llm import chat
+from pyspark.sql import functions as F
+
+from moraine.llm import chat, quality
 from tests.llm import test_joins as J
 
 
@@ -29,9 +31,23 @@ def test_rotation_by_hand(spark):
         assert "".join(r.segment for r in own) == text
         assert [(r.mask_start, r.mask_end) for r in own if r.train] == masks
         assert all(text[r.seg_start : r.seg_end] == r.segment for r in own)
+    whole = {(r.conv_id, r.perspective): r for r in chat.rendered(df).collect()}
+    assert all((whole[1, who].dialogue, [tuple(m) for m in whole[1, who].masks]) == rendered(order, who) for who in ("ann", "bob", "unknown"))
     assert chat.rotate(df.limit(0)).count() == 0
 
 
+def test_stages_keep_columns_that_clash(spark, hard_docs, small_sf):
+    import corpus_pipeline as P
+
+    labels = spark.createDataFrame([(i, int(i > 3)) for i in range(30)], "doc_id long, quality int")
+    hard = hard_docs.withColumn("n_chars", F.length("text").cast("long"))
+    scored = quality.score(hard, quality.train(hard, labels, epochs=1, buckets=1 << 10), into="_extra")
+    assert scored.select(*hard.columns).exceptAll(hard).count() == 0
+    for stage in (P.fresh_lines, P.near_duplicates, P.decontaminated):
+        out = stage(spark, hard, small_sf)
+        assert out.schema.names == hard.schema.names and out.where("key <> 'key' or _score <> '_score' or _did <> '_did'").count() == 0
+
+
 @pytest.mark.parametrize("name", ["op4_chat_formatting", "op5_ngram_jaccard_join", "op9_benchmark_decontamination", "op10_embedding_near_dedup"])
 def test_against_sql(spark, small_sf, name):
     duckdb = pytest.importorskip("duckdb")

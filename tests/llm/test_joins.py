@@ -81,6 +81,33 @@ def test_short_texts_that_extend_each_other_are_admitted(spark):
         assert jaccard.admitted(df, rows, "doc_id", "text", words, percent)[1].count() == len(texts) > 0
 
 
+def test_texts_that_agree_in_polynomial_hashes_are_apart(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word + " x"), (4, "b" + word)]
+    got = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_tokens_and_classes_that_very_many_have(spark, monkeypatch):
+    """Common tokens, large groups of copies and small batches give what brute force gives."""
+    monkeypatch.setattr(jaccard, "NOBODY", 7)
+    monkeypatch.setattr(jaccard, "HOT", 5)
+    rng = random.Random(6)
+    common = "all texts begin with the same eight words "
+    texts = [common + " ".join(rng.choice("abcdefgh") + str(rng.randint(0, 40)) for _ in range(rng.randint(4, 50))) for _ in range(40)]
+    texts += [t + " end" for t in texts[:20]] + [texts[0]] * 12 + [texts[1] + " end"] * 7 + [None, "", " "] * 4
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df, 3, 70).collect()}
+    assert got == near_brute(list(enumerate(texts)), 3, 70)
+
+
+def test_one_of_each_keeps_other_columns(spark, hard_docs):
+    out = jaccard.one_of_each(hard_docs)
+    assert out.schema == hard_docs.schema and out.count() > 0
+
+
 def test_jaccard_query_and_empty(spark, small_sf, empty_docs):
     docs = [tuple(r) for r in spark.read.parquet(f"{small_sf}/documents.parquet").select("doc_id", "text").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.query(spark, small_sf).collect()} == near_brute(docs, 4, 85)
@@ -94,7 +121,7 @@ def within(a, b):
     return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
 
 
-def lines_brute(docs, least=5, edit=10):
+def lines_brute(docs, least=1, edit=10):
     first, rows = {}, []
     for d, t in docs:
         for no, line in enumerate((t or "").split("\n")):
@@ -105,7 +132,7 @@ def lines_brute(docs, least=5, edit=10):
     sized = collections.defaultdict(list)
     for w, at in first.items():
         sized[len(w)].append((at, w))
-    near = {w for w, at in first.items() if len(w) >= edit and any(a < at and within(w, v) for n in (len(w) - 1, len(w), len(w) + 1) if n >= edit for a, v in sized[n])}
+    near = {w for w, at in first.items() if any(a < at and within(w, v) for n in (len(w) - 1, len(w), len(w) + 1) if max(n, len(w)) >= edit for a, v in sized[n])}
     gone = collections.defaultdict(set)
     for d, no, w in rows:
         if w in near or first[w] != (d, no):
@@ -132,7 +159,8 @@ def test_lines_on_edits(spark):
                     c.insert(i, "yy")
             lines.append("  ".join(c) if rng.random() < 0.3 else " ".join(c))
         texts += ["\n".join(lines[:4]), "\n".join(lines[4:])]
-    texts += ["x y " * 4000 + "end", "x y " * 4000 + "End other"]
+    texts += ["x y " * 4000 + "end", "x y " * 4000 + "End other", "yes\nyes\nno", "no\n  \nNO", "one two three four five six seven eight nine", "one two three four and five six seven eight nine"]
+    texts += ["1 2 3 4 5 6 7 8 9 ten", "1 2 3 4 5 6 7 8 9", "a1 2 3 4 5 6 7 8 9", "a2 2 3 4 5 6 7 8 9"]
     df = spark.createDataFrame([(i, t, 1, "c") for i, t in enumerate(texts)], "doc_id long, text string, no int, w string").repartition(3)
     out = linededup.dedup_lines(df)
     assert out.columns == df.columns

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +27,45 @@ def test_training_never_sees_the_held_out_fold(spark):
 def test_scores_of_hard_rows(spark, hard_docs, empty_docs):
     model = quality.fit(["a b c d", "!! ## $$"] * 20, [1, 0] * 20, buckets=1 << 10)
     got = quality.score(hard_docs, model)
-    assert got.count() == hard_docs.count() and got.where("score is null or score < 0 or score > 1").count() == 0
+    assert got.columns[-1] == "score" and got.count() == hard_docs.count() and got.where("score is null or score < 0 or score > 1").count() == 0
     assert quality.score(empty_docs, model).count() == 0
     assert quality.fit([], []).scores(pa.array(["x", None]))[0] == 0.5
     one = quality.fit(["x y z"] * 5, [1] * 5, buckets=1 << 10).scores(pa.array(["x y z"]))
     assert one[0] >= 0.5
 
 
+def test_scores_against_brute_force(hard_texts):
+    """Features one by one in plain Python, with the model's own hashes of single words."""
+    model = quality.fit(["a b c d", "!! ## $$"] * 20, [1, 0] * 20, buckets=1 << 10)
+    shift, full = int(quality.SHIFT), (1 << 64) - 1
+    mix = lambda x: int(quality.mix(np.array([x & full], np.uint64))[0])
+
+    def logit(text):
+        data = (text or "").encode()
+        words = [w for w in re.split(rb"[ \t\n\x0b\f\r]+", data) if w]
+        hashes = [int(quality.span_hash(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]) for w in words]
+        two = [mix(a * shift + b) for a, b in zip(hashes, hashes[1:])]
+        codes = hashes + two + [mix(a * shift + b) for a, b in zip(two, hashes[2:])]
+        codes += [mix(back) for back in (1, 2, 3) for i in range(back, len(words)) if words[i] == words[i - back]]
+        codes += [mix(int.from_bytes(data[i : i + n], "big") * 8 + n) for n in (3, 4, 5) for i in range(len(data) - n + 1)]
+        return sum(float(model.weight[c & 1023]) for c in codes) / max(1, len(codes)) + model.bias
+
+    texts = [t for t in hard_texts if len(t or "") < 3000]
+    assert np.allclose(model.scores(pa.array(texts)), [1 / (1 + np.exp(-logit(t))) for t in texts])
+
+
+def test_the_sample_is_bounded_and_filled(spark, monkeypatch):
+    rows = [(i, f"text {i}", int(i % 10 == 0)) for i in range(200)]
+    docs = spark.createDataFrame([*rows, rows[3]], "doc_id long, text string, y int").select("doc_id", "text")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    sizes = []
+    monkeypatch.setattr(quality, "fit", lambda texts, y, **how: sizes.append((len(list(texts)), sum(y))))
+    fold = [y for i, _, y in rows if quality.fold(i) != 1]
+    for bound in ({"sample": 40}, {"sample": 1000}, {"sample": 1000, "sample_bytes": 75}, {"sample_bytes": 0}):
+        quality.train(docs, labels, **bound)
+    assert sizes[0] == (40, min(20, sum(fold))) and sizes[1] == (len(fold), sum(fold)) and sizes[2][0] in (8, 9, 10) and sizes[3][0] == 0
+
+
 def test_piecewise_scores_are_the_same(monkeypatch, hard_texts):
     model = quality.fit(["a b c d", "!! ## $$"] * 20, [1, 0] * 20, buckets=1 << 10)
     whole = model.scores(pa.array(hard_texts))
@@ -93,3 +126,8 @@ def test_unigram_models_with_byte_fallback():
     texts = ["".join(rng.choice("abcde  ") for _ in range(rng.randint(0, 60))) for _ in range(100)] + ["", "  a  b ", "é🙂a"]
     assert own.encode(texts) == other.encode(texts)
     assert own.decode(own.encode(texts)) == [own.normalised(t) for t in texts]
+
+
+def test_user_pieces_are_refused():
+    with pytest.raises(ValueError, match="user-defined"):
+        sentencepieces.Codec(message((1, message((1, b"<unk>"), (2, 0.0), (3, 2)))) + message((1, message((1, b"x y"), (2, 0.0), (3, 4)))))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from moraine.llm import substrings
-from moraine.llm.suffixes import lpf, matched, smaller_neighbours
+from moraine.llm.suffixes import factors, smaller_neighbours
 
 
 def brute(docs, size, keep):
@@ -27,17 +27,6 @@ def brute(docs, size, keep):
     return out
 
 
-def test_longest_previous_factor():
-    rng = random.Random(1)
-    for _ in range(60):
-        t = bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 40)))
-        length, source = lpf(t)
-        for i in range(len(t)):
-            best = max((next((k for k in range(len(t) - i + 1) if i + k == len(t) or t[i + k] != t[j + k]), 0) for j in range(i)), default=0)
-            assert length[i] == best
-            assert not best or (source[i] < i and t[source[i] : source[i] + best] == t[i : i + best])
-
-
 def test_smaller_neighbours():
     a = np.random.default_rng(2).permutation(200)
     before, after = smaller_neighbours(a)
@@ -46,14 +35,14 @@ def test_smaller_neighbours():
         assert after[i] == next((j for j in range(i + 1, 200) if a[j] < v), 200)
 
 
-def test_matched_prefixes():
+def test_longest_previous_factors_of_a_size():
     rng = random.Random(3)
     for _ in range(40):
         d = bytes(rng.choice(b"ab") for _ in range(150))
         d = d + d[20:90] + bytes(rng.choice(b"abc") for _ in range(30))
         size, starts = rng.choice([16, 20, 33]), None
         starts = np.array([i for i in range(len(d) - size + 1) if rng.random() < 0.8])
-        earlier, later = matched(np.frombuffer(d, np.uint8), starts, size)
+        earlier, later = factors(np.frombuffer(d, np.uint8), starts, size)
         places = {}
         for i in starts:
             places.setdefault(d[i : i + size], []).append(i)
@@ -83,3 +72,13 @@ def test_empty_and_texts(spark, hard_docs, empty_docs):
     out = substrings.dedup_substrings(hard_docs, keep="first")
     assert out.schema == hard_docs.schema and out.count() == hard_docs.count()
     assert out.where("doc_id = 0 and text is null").count() == 1 and out.where("doc_id = 7").first().text
+
+
+def test_texts_that_agree_in_polynomial_hashes(spark):
+    """Thue-Morse words and their complements have equal polynomial hashes modulo 2**64."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    docs = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word[:300]), (4, "x" + word[300:620])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r[0]: tuple(r)[1:] for r in substrings.report(df, size=200, keep="none").collect()} == brute(docs, 200, "none")
