@@ -10,18 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.llm import decontaminate, jaccard, linededup, quality, sentencepieces
-from moraine.llm.common import stored, table
+from moraine.llm.common import drop, fresh, stored, table, workspace
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on labelled ones of the training folds, does not reject."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, into="_score").where("_score >= 0.5").select(*docs.columns)
+    (own,) = fresh(docs, "_score")
+    return quality.score(docs, model, into=own).where(F.col(own) >= 0.5).select(*docs.columns)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of lines; a document of which nothing is left goes."""
-    was = "_was_blank"
+    (was,) = fresh(docs, "_was_blank")
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"\S")
     out = linededup.dedup_lines(docs.withColumn(was, blank)).where(F.col(was) | ~blank).drop(was)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
@@ -56,6 +57,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    was = None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with workspace(spark) as keep:
+            docs = keep(stored(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        if was:
+            drop(was)
+        was = docs
     return docs
