@@ -104,7 +104,8 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
         n = np.bincount(code, minlength=buckets)
         code = np.flatnonzero(n)
         n = n[code]
-        cells.append((code.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
+        total, n = max(1, int(n.sum())), n.astype(np.uint16 if n.max(initial=0) < 1 << 16 else np.uint32)
+        cells.append((code.astype(np.int32), n, np.float32(1 / total)))
     steps, done = epochs * -(-len(y) // batch), 0
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -112,7 +113,7 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
             ids = order[at : at + batch]
             step = rate * (1 - done / steps)
             done += 1
-            mean = np.stack([cells[i][1] @ rows[cells[i][0]] for i in ids])
+            mean = np.stack([(n * part) @ rows[code] for code, n, part in (cells[i] for i in ids)])
             z = mean @ layer + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
@@ -122,7 +123,8 @@ def fit(texts: Iterable[str], labels: list[int], buckets: int = 1 << 18, dim: in
             layer -= step / 40 * (mean.T @ grad).astype(np.float32)
             bias -= step / 40 * grad.sum(0)
             for i, change in zip(ids, step * back, strict=True):  # a text's buckets are distinct
-                rows[cells[i][0]] -= cells[i][1][:, None] * change
+                code, n, part = cells[i]
+                rows[code] -= (n * part)[:, None] * change
     return Model(rows @ (layer[:, 1] - layer[:, 0]), bias[1] - bias[0])
 
 
