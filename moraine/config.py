@@ -28,6 +28,7 @@ WEIGHTS = {
     "fcs_adaptor_review": -40, "fcs_gx_contaminant": -100, "fcs_gx_review": -40,
 }
 
+# The thresholds that users know, of curation and of damage.
 CURATE = {
     "qc": {"min_length": 50, "max_length": 400000, "min_length_by_class": {}, "max_n_fraction": 0.20, "max_non_iupac_fraction": 0.01, "min_entropy": 1.2, "max_run": 60},
     "adapter": {"scan_reverse": True, "terminal_window": 25, "min_pattern": 12},
@@ -64,12 +65,29 @@ def merged(base: dict, override: dict | None) -> dict:
     return out
 
 
+#: Settings whose keys are names of the user's own.
+FREE = ("min_length_by_class", "by_class", "weights")
+
+
+def unknown(base: dict, over: dict, at: str = "") -> list[str]:
+    """Settings that the defaults do not have."""
+    out = []
+    for k, v in over.items():
+        if k not in base:
+            out.append(at + str(k))
+        elif isinstance(v, dict) and isinstance(base[k], dict) and k not in FREE:
+            out += unknown(base[k], v, f"{at}{k}.")
+    return out
+
+
 def load(base: dict, path: str | None = None, **flags) -> MappingProxyType:
-    """Defaults under a YAML file under flags that are not None; the result cannot be changed."""
+    """Defaults under a YAML file under flags that are not None; the result cannot be changed. A key that the defaults lack is an error."""
     over = {}
     if path:
         import yaml
 
         with open(path, encoding="utf-8") as f:
             over = yaml.safe_load(f) or {}
+    if strange := sorted(unknown(base, over)):
+        raise ValueError(f"unknown settings: {', '.join(strange)}")
     return MappingProxyType(merged(merged(base, over), {k: v for k, v in flags.items() if v is not None}))

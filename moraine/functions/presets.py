@@ -44,6 +44,86 @@ CHORDATE_WORDS = ("mammals", "birds", "fish", "reptiles", "amphibians", "vertebr
 ANIMAL_WORDS = (*CHORDATE_WORDS, "animals", "metazoa", "invertebrates", "arthropods", "molluscs")
 
 
+# Continents as the source names them with their short names, groups of them, bases of record, and the dataset
+# types that an organism word asks for.
+CONTINENTS = {**{c.lower(): c for c in ("NORTH_AMERICA", "SOUTH_AMERICA", "EUROPE", "ASIA", "AFRICA", "OCEANIA", "ANTARCTICA")}, "na": "NORTH_AMERICA", "sa": "SOUTH_AMERICA", "eu": "EUROPE"}
+CONTINENT_GROUPS = {
+    "northern_hemisphere": ("NORTH_AMERICA", "EUROPE", "ASIA"), "holarctic": ("NORTH_AMERICA", "EUROPE", "ASIA"), "americas": ("NORTH_AMERICA", "SOUTH_AMERICA"),
+    "eurasia": ("EUROPE", "ASIA"), "old_world": ("EUROPE", "ASIA", "AFRICA"),
+}
+BASES = {
+    "human": ("HUMAN_OBSERVATION", "PRESERVED_SPECIMEN", "OBSERVATION", "LITERATURE", "MATERIAL_CITATION"), "observed": ("HUMAN_OBSERVATION", "OBSERVATION"),
+    "specimen": ("PRESERVED_SPECIMEN",), "machine": ("MACHINE_OBSERVATION",), "fossil": ("FOSSIL_SPECIMEN",), "living": ("LIVING_SPECIMEN",), "any": (),
+}
+
+
+def continents(names: list[str]) -> list[str]:
+    """Source names of continents, short names and groups, in order, each once; others go in upper case as they are."""
+    out = []
+    for n in names:
+        k = n.strip().lower().replace("-", "_").replace(" ", "_")
+        out += CONTINENT_GROUPS.get(k) or [CONTINENTS.get(k, n.strip().upper())]
+    return list(dict.fromkeys(out))
+
+
+def requested(region_name: str | None = None, countries: list[str] = (), continent_names: list[str] = (), basis: str = "any", years: tuple | None = None, with_coordinates: bool = False) -> list[dict]:
+    """The source's filter as a list of conditions that must all hold: boxes and lists are alternatives within one."""
+    out = []
+    if region_name and key(region_name) not in ("global", "world"):
+        a, b, c, d = region(region_name)
+        out.append({"type": "and", "predicates": [{"type": "range", "key": k, "value": {"gte": lo, "lte": hi}} for k, lo, hi in (("DECIMAL_LONGITUDE", a, c), ("DECIMAL_LATITUDE", b, d))]})
+    for k, values in (("COUNTRY", [c.strip().upper() for c in countries]), ("CONTINENT", continents(list(continent_names))), ("BASIS_OF_RECORD", list(BASES[basis]))):
+        if values:
+            out.append({"type": "or", "predicates": [{"type": "equals", "key": k, "value": v} for v in values]} if len(values) > 1 else {"type": "equals", "key": k, "value": values[0]})
+    if years:
+        out.append({"type": "range", "key": "YEAR", "value": {"gte": years[0], "lte": years[1]}})
+    return out + [{"type": "equals", "key": "HAS_COORDINATE", "value": "true"}] * with_coordinates
+
+
+def matching(lat: Column, lon: Column, country: Column, continent: Column, basis: Column, conditions: list[dict]) -> Column:
+    """The same filter on rows that are there."""
+    by = {"DECIMAL_LONGITUDE": lon, "DECIMAL_LATITUDE": lat, "COUNTRY": F.upper(country), "CONTINENT": F.upper(continent), "BASIS_OF_RECORD": F.upper(basis)}
+
+    def test(c):
+        if c["type"] in ("and", "or"):
+            parts = [test(p) for p in c["predicates"]]
+            out = parts[0]
+            for p in parts[1:]:
+                out = out & p if c["type"] == "and" else out | p
+            return out
+        if c["type"] == "range":
+            return by[c["key"]].between(c["value"]["gte"], c["value"]["lte"])
+        return lat.isNotNull() & lon.isNotNull() if c["key"] == "HAS_COORDINATE" else by[c["key"]] == c["value"]
+
+    out = F.lit(True)
+    for c in conditions:
+        out = out & F.coalesce(test(c), F.lit(False))
+    return out
+
+
+def geojson_wkt(shape: dict) -> str:
+    """POLYGON or MULTIPOLYGON of a geometry, a feature, or a collection's first feature; rings are closed."""
+
+    def ring(points):
+        if not points:
+            raise ValueError("a ring without points")
+        p = [(float(x), float(y)) for x, y, *_ in points]
+        return "(" + ", ".join(f"{x} {y}" for x, y in (p if p[0] == p[-1] else [*p, p[0]])) + ")"
+
+    if shape.get("type") == "FeatureCollection":
+        if not shape.get("features"):
+            raise ValueError("a collection without features")
+        shape = shape["features"][0]
+    if shape.get("type") == "Feature":
+        shape = shape.get("geometry") or {}
+    rings = lambda polygon: ", ".join(map(ring, polygon))
+    if shape.get("type") == "Polygon":
+        return f"POLYGON ({rings(shape['coordinates'])})"
+    if shape.get("type") == "MultiPolygon":
+        return f"MULTIPOLYGON ({', '.join(f'({rings(p)})' for p in shape['coordinates'])})"
+    raise ValueError(f"no polygon: {shape.get('type')}")
+
+
 def key(name: str) -> str:
     k = (name or "global").strip().lower().replace("-", "_").replace(" ", "_")
     return ALIASES.get(k, k)
@@ -94,7 +174,7 @@ def overlaps(young: Column, old: Column, bounds: tuple[float | None, float | Non
     some = young.isNotNull() | old.isNotNull() if require else F.lit(True)
     if bounds[0] is None or bounds[1] is None:
         return some
-    return some & F.coalesce((old >= bounds[0]) & (young <= bounds[1]), young.isNull() | old.isNull())
+    return some & F.when(young.isNull() | old.isNull(), True).otherwise((old >= bounds[0]) & (young <= bounds[1]))
 
 
 def group_of(code: Column, dataset_type: Column, name: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from moraine.scratch import stored
+
 
 def segments(intervals: DataFrame, targets: DataFrame, target: str = "ref_id", start: str = "ref_start", end: str = "ref_end", length: str = "length") -> DataFrame:
     """target, from, to (0-based, half open), depth: runs of constant depth over every target, zero depth included.
@@ -75,11 +77,10 @@ def recommendations(targets: DataFrame, probes: DataFrame, goal_fraction: float,
 
 
 def augment(targets: DataFrame, probes: DataFrame, depth: int, rounds: int = 5, bait_len: int = 80, accept=None) -> DataFrame:
-    """Probes added until nothing is missing, nothing is proposed, or ``accept`` (a DataFrame filter) lets none pass; every round is checkpointed where a folder is set.
+    """Probes added until nothing is missing, nothing is proposed, or ``accept`` (a DataFrame filter) lets none pass; every round is stored.
 
     targets: ref_id, length, seq; probes: ref_id, ref_start, ref_end, seq.
     """
-    spark = targets.sparkSession
     panel = probes.select("ref_id", "ref_start", "ref_end", "seq")
     for _ in range(rounds):
         segs = segments(panel, targets)
@@ -87,8 +88,7 @@ def augment(targets: DataFrame, probes: DataFrame, depth: int, rounds: int = 5,
         new = found.select("ref_id", (F.col("start") + 1).alias("ref_start"), (F.col("start") + bait_len).alias("ref_end"), F.substring("_ref", (F.col("start") + 1).cast("int"), F.lit(bait_len)).alias("seq"))
         new = new.join(panel.select(F.upper("seq").alias("_s")).distinct(), F.upper("seq") == F.col("_s"), "left_anti")
         new = accept(new) if accept else new
-        if spark.sparkContext.getCheckpointDir():
-            new = new.checkpoint()
+        new = stored(new, "round")
         if not new.limit(1).count():
             break
         panel = panel.unionByName(new)

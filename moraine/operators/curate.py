@@ -174,3 +174,9 @@ def run(records: DataFrame, cfg: dict = CURATE, **tables) -> DataFrame:
     """Annotate, give duplicates back, decide, cap, decide again, promote sole representatives."""
     out = rescued_duplicates(annotated(records, cfg, **tables))
     return sole_representatives(decided(capped(decided(out, cfg), cfg), cfg))
+
+
+def rebuilt(decisions: DataFrame) -> DataFrame:
+    """The summary of a decisions table that was written before (reasons joined by ";")."""
+    split = F.filter(F.split(F.coalesce(F.col("reasons"), F.lit("")), ";"), lambda r: r != "")
+    return summary(decisions.withColumn("reasons", split))

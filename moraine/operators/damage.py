@@ -26,6 +26,23 @@ def merged_counts(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [p.select(*keys, "library", "count") for p in parts]).groupBy(*keys, "library").agg(F.sum("count").alias("count"))
 
 
+def warnings(long_: DataFrame, linker: DataFrame, damage: DataFrame) -> DataFrame:
+    """level, kind, value: libraries without counts (error), taxa of the damage table without counts (info), or one row that says none."""
+    lost = missing_libraries(long_, linker).select(F.lit("error").alias("level"), F.lit("missing_library").alias("kind"), F.col("library").cast("string").alias("value"))
+    taxa = damage.select(F.col("tax_id").cast("string").alias("value")).distinct().join(long_.select(F.col("tax_id").cast("string").alias("value")).distinct(), "value", "left_anti")
+    out = lost.unionByName(taxa.select(F.lit("info").alias("level"), F.lit("unmatched_taxon").alias("kind"), "value"))
+    none = out.agg(F.count("*").alias("n")).where("n = 0").select(F.lit("info").alias("level"), F.lit("none").alias("kind"), F.lit("").alias("value"))
+    return out.unionByName(none)
+
+
+def inputs_summary(long_: DataFrame, damage: DataFrame) -> DataFrame:
+    """section, key, value: rows, taxa, libraries, samples and the like of both inputs."""
+    c = long_.agg(F.count("*").alias("rows"), F.count_distinct("tax_id").alias("taxa"), F.count_distinct("library").alias("libraries"), F.count_if(F.col("count") > 0).alias("positive"))
+    d = damage.agg(F.count("*").alias("rows"), F.count_distinct("tax_id").alias("taxa"), F.count_distinct("sample").alias("samples"), F.count_if(F.col("map_valid")).alias("valid"))
+    long = lambda df, s: df.unpivot([], df.columns, "key", "value").select(F.lit(s).alias("section"), "key", "value")
+    return long(c, "counts").unionByName(long(d, "damage"))
+
+
 def missing_libraries(long_: DataFrame, linker: DataFrame, library: str = "library") -> DataFrame:
     return linker.select(library).distinct().join(long_.select(library).distinct(), library, "left_anti")
 

@@ -179,3 +179,17 @@ def query_term(name: str, marker_clauses: list[str], exclude: list[str], low: in
 def latest(rows: DataFrame, key: str, ordinal: str = "ordinal") -> DataFrame:
     """The last row of each key."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(ordinal)))).where("_n = 1").drop("_n")
+
+
+def symmetric_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Distinct rows that only one of two frames has."""
+    return a.subtract(b).unionByName(b.subtract(a))
+
+
+def decoded_cache(entries: DataFrame, key: str = "key", entry: str = "entry") -> DataFrame:
+    """key, name, source of cached lookups: an object with name and src, plain text of older caches, or nothing for a known miss."""
+    e = F.col(entry)
+    as_object = F.startswith(F.trim(e), F.lit("{"))
+    name = F.when(as_object, F.nullif(F.get_json_object(e, "$.name"), F.lit(""))).otherwise(F.nullif(e, F.lit("")))
+    source = F.when(F.coalesce(e, F.lit("")) == "", "cache-miss").when(as_object, F.coalesce(F.get_json_object(e, "$.src"), F.lit("cache"))).otherwise("cache")
+    return entries.select(key, name.alias("name"), source.alias("source"))

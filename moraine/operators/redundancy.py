@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moraine.functions import sequence as S
+from moraine.scratch import drop, stored
 
 
 def without_complements(probes: DataFrame, seq: str = "seq", order: str = "bait_id") -> DataFrame:
@@ -63,44 +64,59 @@ def seed_hits(queries: DataFrame, subjects: DataFrame, k: int = 12, min_ident: i
     return both.withColumn("nident", same).groupBy("qseqid", "sseqid", "sstrand").agg(F.max("nident").alias("nident")).where(F.col("nident") >= min_ident)
 
 
-def components(pairs: DataFrame, rounds: int = 50) -> DataFrame:
-    """(id, root) over pairs (a, b) by least-label spreading with pointer jumping; each round is one join and one aggregate."""
-    both = pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    label = both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("root"))
-    spark = pairs.sparkSession
-    keep = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() else (lambda df: df)
-    for _ in range(rounds):
-        near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("root").alias("m"))
-        new = keep(label.join(near, "id").select("id", F.least("root", "m").alias("root"), F.col("root").alias("was")))
-        changed = new.where("root <> was").limit(1).count()
-        label = new.select("id", "root")
-        jump = label.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        label = keep(label.join(jump, "root", "left").select("id", F.least("root", F.coalesce("up", "root")).alias("root")))
-        if not changed:
-            break
-    return label
-
-
-def greedy_representatives(pairs: DataFrame, most_first: bool = True) -> DataFrame:
-    """ids that a greedy pass drops: by number of partners (then id), each id still there drops its partners.
-
-    pairs: (a, b), both ways. The pass is sequential within a connected component and parallel over components.
+def greedy_representatives(pairs: DataFrame, order: DataFrame | None = None) -> DataFrame:
+    """ids that a greedy pass drops: by number of partners (then id), greatest first, each id still there drops its partners.
+
+    pairs: (a, b), both ways; order (id, rank), greatest rank first, replaces the number of partners. An id that stands before
+    all its live partners is one that the pass reaches before them, so each round keeps all such ids, drops their partners and
+    forgets both; rounds are joins and aggregates, whatever the size of a connected component.
+    """
+    live = stored(pairs.where("a <> b").select("a", "b").distinct(), "pairs")
+    if order is None:
+        order = live.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("rank"))
+    order = stored(order.select("id", "rank"), "order")
+    place = lambda x: order.select(F.col("id").alias(x), F.struct("rank", "id").alias("p" + x))
+    was, live = live, stored(live.join(place("a"), "a").join(place("b"), "b"), "live")
+    drop(was)
+    gone = None
+    while live.limit(1).count():
+        first = stored(live.groupBy("a").agg(F.max(F.col("pb") > F.col("pa")).alias("later")).where("not later").select("a"), "first")
+        out = stored(live.join(first, "a").select(F.col("b").alias("id")).distinct(), "gone")
+        gone = out if gone is None else gone.unionByName(out)
+        done = first.select(F.col("a").alias("id")).unionByName(out)
+        rest = live.join(done.withColumnRenamed("id", "a"), "a", "left_anti").join(done.withColumnRenamed("id", "b"), "b", "left_anti")
+        was, live = live, stored(rest.select(*live.columns), "live")
+        drop(was)
+    return pairs.select(F.col("a").alias("id")).where("false") if gone is None else gone
+
+
+def cluster_representatives(probes: DataFrame, hits: DataFrame, identity: float = 0.95, overlap: float = 0.83, probe_id: str = "bait_id", seq: str = "seq") -> DataFrame:
+    """Probes less those that a longer one (a greater id on ties) stands for: ``identity`` of the aligned bases agree, over ``overlap`` of the shorter one.
+
+    hits: qseqid, sseqid, nident, length.
+    """
+    size = probes.select(F.col(probe_id).alias("id"), F.length(seq).alias("rank"))
+    at = lambda x, n: size.select(F.col("id").alias(x), F.col("rank").alias(n))
+    near = hits.join(at("qseqid", "n"), "qseqid").join(at("sseqid", "m"), "sseqid").where((F.col("nident") >= identity * F.col("length")) & (F.col("length") >= overlap * F.least("n", "m")))
+    both = near.select(F.col("qseqid").alias("a"), F.col("sseqid").alias("b")).unionByName(near.select(F.col("sseqid").alias("a"), F.col("qseqid").alias("b")))
+    return probes.join(greedy_representatives(both, size).withColumnRenamed("id", probe_id), probe_id, "left_anti")
+
+
+def without_similar(probes: DataFrame, hits: DataFrame, min_ident: int = 30, identities: tuple[int, ...] = (), probe_id: str = "bait_id") -> DataFrame:
+    """Probes less complements of others, then less similar ones, from the greatest number of identities down.
+
+    hits: qseqid, sseqid, sstrand, nident. Of minus-strand hits of ``min_ident`` identities the partners that are not queries
+    themselves go; of plus-strand hits, at each of the descending ``identities`` a greedy pass over what is left.
     """
-    root = components(pairs)
-    rows = pairs.join(root.withColumnRenamed("id", "a"), "a")
-    kind = dict(pairs.dtypes)["a"]
-
-    def walk(tab):
-        import pyarrow as pa
-
-        near: dict = {}
-        a, b = tab["a"].to_pylist(), tab["b"].to_pylist()
-        for x, y in zip(a, b, strict=True):
-            near.setdefault(x, set()).add(y)
-        gone: set = set()
-        for x in sorted(near, key=lambda x: (len(near[x]), x), reverse=most_first):
-            if x not in gone:
-                gone |= near[x]
-        return pa.table({"id": pa.array(sorted(gone), tab.schema.field("a").type)})
-
-    return rows.groupBy("root").applyInArrow(walk, f"id {kind}")
+    h = stored(hits.where("qseqid <> sseqid").select("qseqid", "sseqid", "sstrand", "nident"), "hits")
+    minus = h.where((F.col("sstrand") == "minus") & (F.col("nident") >= min_ident))
+    both = minus.select(F.col("qseqid").alias("a"), F.col("sseqid").alias("b")).unionByName(minus.select(F.col("sseqid").alias("a"), F.col("qseqid").alias("b")))
+    out = probes.join(greedy_representatives(both).withColumnRenamed("id", probe_id), probe_id, "left_anti")
+    for least in sorted(identities, reverse=True):
+        out = stored(out, "probes")
+        ids = out.select(F.col(probe_id).alias("id"))
+        near = h.where((F.col("sstrand") == "plus") & (F.col("nident") >= least))
+        near = near.join(ids.withColumnRenamed("id", "qseqid"), "qseqid", "left_semi").join(ids.withColumnRenamed("id", "sseqid"), "sseqid", "left_semi")
+        both = near.select(F.col("qseqid").alias("a"), F.col("sseqid").alias("b")).unionByName(near.select(F.col("sseqid").alias("a"), F.col("qseqid").alias("b")))
+        out = out.join(greedy_representatives(both).withColumnRenamed("id", probe_id), probe_id, "left_anti")
+    return out

@@ -84,9 +84,9 @@ def windows(records: DataFrame, cfg: dict = CURATE, key: str = "record_key", seq
     w = cfg["windows"]
     long_ = records.where(F.length(seq) >= w["min_length"]).withColumn("_last", F.greatest(F.length(seq) - w["size"], F.lit(0)))
     starts = F.array_distinct(F.concat(F.sequence(F.lit(0), F.col("_last"), F.lit(w["step"])), F.array("_last")))
-    rows = long_.select(key, seq, F.posexplode(starts).alias("_i", "_s"))
-    sub = F.substring(F.col(seq), F.col("_s") + 1, F.lit(w["size"]))
-    rows = rows.select(F.col(key), (F.col("_i") + 1).alias("win"), (F.col("_s") + 1).alias("start"), sub.alias("window")).withColumn("end", F.col("start") + F.length("window") - 1)
+    size = F.least(F.lit(w["size"]), F.length(seq))
+    cut = S.let(F.encode(F.col(seq), "UTF-32"), lambda wide: F.transform(starts, lambda s, i: F.struct((i + 1).alias("win"), (s + 1).alias("start"), F.decode(F.substring(wide, 4 * s + 1, 4 * size), "UTF-32").alias("window"))))
+    rows = long_.select(key, F.explode(cut).alias("x")).select(key, "x.*").withColumn("end", F.col("start") + F.length("window") - 1)
     return rows.where(F.length("window") >= min(100, max(1, w["size"] // 2)))
 
 

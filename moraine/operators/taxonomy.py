@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from moraine.scratch import stored
+
 MAX_DEPTH = 100
 
 
 def closure(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     """(taxid, ancestor, depth) of nodes (taxid, parent), each its own ancestor at depth 0, by doubling: each round joins once.
 
-    A walk ends at a node that is its own parent, has no known parent, or was met before.
+    A walk ends at a node that is its own parent, has no known parent, or was met before. Rounds are stored; a lineage of
+    more than max_depth steps is an error.
     """
     edges = nodes.select("taxid", "parent").where("parent is not null and taxid <> parent").join(nodes.select(F.col("taxid").alias("parent")).distinct(), "parent", "left_semi")
     all_ = nodes.select("taxid", F.col("taxid").alias("ancestor"), F.lit(0).alias("depth")).unionByName(edges.select("taxid", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")))
@@ -22,8 +25,10 @@ def closure(nodes: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
             break
         step = all_.where("depth > 0").select(F.col("taxid").alias("mid"), F.col("ancestor"), "depth")
         more = far.join(step, "mid").select("taxid", "ancestor", (F.col("depth") + reach).alias("depth"))
-        all_ = all_.unionByName(more).groupBy("taxid", "ancestor").agg(F.min("depth").alias("depth")).checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else all_.unionByName(more).groupBy("taxid", "ancestor").agg(F.min("depth").alias("depth"))
+        all_ = stored(all_.unionByName(more).groupBy("taxid", "ancestor").agg(F.min("depth").alias("depth")), "closure")
         reach *= 2
+    if reach >= max_depth and all_.where(F.col("depth") > max_depth).limit(1).count():
+        raise RuntimeError(f"a lineage has more than {max_depth} steps")
     return all_
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from moraine.functions import sequence as S
@@ -32,11 +32,21 @@ def tile(refs: DataFrame, bait_len: int = 80, density: float = 3.0, omit: int =
     n, step = F.length(seq), step_of(bait_len, density)
     usual = F.array_distinct(F.concat(F.sequence(F.lit(0), n - bait_len, F.lit(step)), F.array(n - bait_len)))
     starts = F.when(n <= omit, F.array().cast("array<int>")).when(n < bait_len, F.when(n >= pad_min, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))).when(ring, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(usual)
-    rows = refs.withColumn("_starts", starts).select(F.col(ref_id).alias("ref_id"), F.col(seq).alias("_ref"), F.posexplode("_starts").alias("_i", "_s"))
-    long_ = F.length("_ref") >= bait_len
-    piece = F.when(long_, F.substring(F.concat("_ref", F.substring("_ref", 1, bait_len)), F.col("_s") + 1, F.lit(bait_len))).otherwise(F.rpad("_ref", bait_len, "T"))
-    rows = rows.select("ref_id", (F.col("_s") + 1).alias("ref_start"), F.when(long_, F.col("_s") + bait_len).otherwise(F.length("_ref")).alias("ref_end"), piece.alias("seq"), "_i", F.lit(bait_len).alias("_n"))
-    return rows.select(F.concat(F.col("ref_id").cast("string"), F.lit("|b"), F.col("_i") + 1, F.lit("|pos"), "ref_start", F.lit("-"), F.col("ref_start") + F.col("_n") - 1).alias("bait_id"), "ref_id", "ref_start", "ref_end", "seq")
+    ref = F.col(seq)
+    long_ = n >= bait_len
+    # characters of four bytes each have known places, so a probe is cut without a walk from the start
+    at = lambda wide, s: F.decode(F.substring(wide, 4 * s + 1, F.lit(4 * bait_len)), "UTF-32")
+    cut = S.let(F.encode(F.concat(ref, F.substring(ref, 1, bait_len)), "UTF-32"), lambda wide: F.transform(starts, lambda s, i: F.struct(i.alias("i"), s.alias("s"), at(wide, s).alias("seq"))))
+    pad = F.transform(starts, lambda s, i: F.struct(i.alias("i"), s.alias("s"), F.rpad(ref, bait_len, "T").alias("seq")))
+    rows = refs.withColumns({"_n": n, "_x": F.when(long_, cut).otherwise(pad)}).select(F.col(ref_id).alias("ref_id"), "_n", F.explode("_x").alias("x")).select("ref_id", "_n", "x.*")
+    end = F.when(F.col("_n") >= bait_len, F.col("s") + bait_len).otherwise(F.col("_n"))
+    name = F.concat(F.col("ref_id").cast("string"), F.lit("|b"), F.col("i") + 1, F.lit("|pos"), F.col("s") + 1, F.lit("-"), F.col("s") + bait_len)
+    return rows.select(name.alias("bait_id"), "ref_id", (F.col("s") + 1).alias("ref_start"), end.alias("ref_end"), "seq")
+
+
+def per_sequence(probes: DataFrame, seq: str = "seq", target: str = "ref_id") -> DataFrame:
+    """bait_seq, n_targets, n_probes: distinct targets and probes of each sequence."""
+    return probes.groupBy(F.col(seq).alias("bait_seq")).agg(F.count_distinct(target).alias("n_targets"), F.count("*").alias("n_probes"))
 
 
 def funnel(probes: DataFrame, max_ambiguous: int = 10, max_masked: float = 0.25, min_tm: float = 50.0) -> DataFrame:
@@ -108,21 +118,30 @@ def chosen_density(lengths: DataFrame, most: int, least: float, wanted: float, b
 def softmasked(refs: DataFrame, k: int = 15, threshold: int = 3, ref_id: str = "ref_id", seq: str = "seq") -> DataFrame:
     """Sequences with every base under a k-mer that occurs ``threshold`` times in all of them in lower case.
 
-    k-mers are counted by a partial aggregate; the repeated ones come back by an equi-join on the k-mer, as places by
-    reference, which become runs (gaps and islands) before the text is rebuilt.
+    Windows travel as 64-bit hashes and are counted by a partial aggregate; the places of repeated ones come back by an
+    equi-join on the hash, and runs of them become islands in the reference's own row.
     """
     s = F.upper(seq)
-    places = refs.select(F.col(ref_id).alias("_id"), F.explode(S.places(s, k)).alias("x")).select("_id", "x.p", "x.kmer").where(~F.contains("kmer", F.lit("N")))
-    often = places.groupBy("kmer").agg(F.count("*").alias("c")).where(F.col("c") >= threshold).select("kmer")
-    w = Window.partitionBy("_id").orderBy("p")
-    hit = places.join(often, "kmer", "left_semi").select("_id", "p", F.coalesce(F.col("p") - F.lag("p").over(w) > k, F.lit(True)).cast("int").alias("new"))
-    runs = hit.withColumn("run", F.sum("new").over(w)).groupBy("_id", "run").agg(F.min("p").alias("a"), (F.max("p") + k).alias("e"))
-    runs = runs.groupBy("_id").agg(F.array_sort(F.collect_list(F.struct("a", "e"))).alias("_r"))
-    out = refs.join(runs, F.col(ref_id) == F.col("_id"), "left")
-    ends = F.concat(F.array(F.lit(1)), F.transform("_r", lambda r: r["e"]))
-    # what lies between the runs as it is, and the runs in lower case
-    parts = F.zip_with(ends, "_r", lambda e, r: F.concat(F.substring(s, e, F.coalesce(r["a"], F.length(s) + 1) - e), F.coalesce(F.lower(F.substring(s, r["a"], r["e"] - r["a"])), F.lit(""))))
-    return out.withColumn(seq, F.when(F.col("_r").isNull(), s).otherwise(F.array_join(parts, ""))).drop("_id", "_r")
+    hashed = S.by_blocks(s, k, lambda t, c, n: F.transform(F.sequence(F.lit(1), n), lambda j: S.let(F.substring(t, j, F.lit(k)), lambda w: F.struct((c + j - 1).alias("p"), F.when(~F.contains(w, F.lit("N")), F.xxhash64(w)).alias("h")))))
+    places = refs.select(F.col(ref_id).alias("_id"), F.explode(hashed).alias("x")).select("_id", "x.p", "x.h").where("h is not null")
+    often = places.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= threshold).select("h")
+    hit = places.join(often, "h", "left_semi").groupBy("_id").agg(F.array_sort(F.collect_list("p")).alias("_p"))
+    out = refs.join(hit, F.col(ref_id) == F.col("_id"), "left")
+    p = F.col("_p")
+    before = F.concat(F.array(F.lit(None).cast("int")), F.slice(p, 1, F.size(p) - 1))
+    after = F.concat(F.slice(p, 2, F.size(p)), F.array(F.lit(None).cast("int")))
+    edges = lambda other, far: F.filter(F.zip_with(p, other, lambda x, y: F.when(F.coalesce(far(x, y) > k, F.lit(True)), x)), lambda x: x.isNotNull())
+    starts, ends = edges(before, lambda x, y: x - y), edges(after, lambda x, y: y - x)
+    piece = lambda wide, a, e: F.decode(F.substring(wide, 4 * a + 1, 4 * (e - a)), "UTF-32")
+
+    def rebuilt(x):
+        wide, a, e = x["wide"], x["a"], F.transform(x["e"], lambda v: v + k)
+        gaps = F.zip_with(F.concat(F.array(F.lit(0)), e), F.concat(a, F.array(F.length(s))), lambda f, t: piece(wide, f, t))
+        runs = F.concat(F.zip_with(a, e, lambda f, t: F.lower(piece(wide, f, t))), F.array(F.lit("")))
+        return F.array_join(F.zip_with(gaps, runs, lambda g, r: F.concat(g, r)), "")
+
+    done = S.let(F.struct(F.encode(s, "UTF-32").alias("wide"), starts.alias("a"), ends.alias("e")), rebuilt)
+    return out.withColumn(seq, F.when(p.isNull(), s).otherwise(done)).drop("_id", "_p")
 
 
 def probe_place(probe_id: Column, length: Column) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from moraine.config import CURATE, merged
+from moraine.config import CURATE, DAMAGE, merged
 from moraine.functions import sequence as S
 from moraine.operators import curate as C
 from moraine.operators import rules as R
-from moraine.operators import screens, taxonomy
+from moraine.operators import damage, occurrences, screens, taxonomy
 from moraine.plans.standins import RECORDS, records, table
+from moraine.streaming import ingest
 
 QUERIES, ORACLES = {}, {}
 #: The driver's texts are not DNA: limits that split them.
@@ -169,13 +170,11 @@ def rule(spark, sf):
     return table(spark, sf, "part").select("p_partkey", R.first_match(rules, lambda r: F.col(r[1]).rlike(r[2]), lambda r: F.lit(r[0]), F.lit("none")).alias("rule"))
 
 
-@query("q_kingdom_lookup", "select c_custkey, coalesce(n1.r_name, n2.r_name, 'Unknown') as kingdom from customer left join (select n_nationkey, r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 3 = 0) n1 on c_nationkey = n1.n_nationkey left join (select n_nationkey % 5 as g, min_by(r_name, n_nationkey) as r_name from nation join region on n_regionkey = r_regionkey where n_nationkey % 5 < 3 group by 1) n2 on c_nationkey % 5 = n2.g")
+@query("q_kingdom_lookup", WITH + " select ordinal, case lower(species) when 'bison sp1' then 'Fungi' when 'equus sp2' then 'Animal' when 'bison sp9' then 'Plant' else case genus when 'Bison' then 'Animal' when 'Equus' then 'Animal' when 'Salix' then 'Plant' else case when marker_class = 'Plastid' then 'Plant' else 'Unknown' end end end as kingdom from rec")
 def kingdom(spark, sf):
-    n = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    own = n.where("n_nationkey % 3 = 0").select(F.col("n_nationkey").alias("k"), F.col("r_name").alias("by_key"))
-    group = n.where("n_nationkey % 5 < 3").groupBy((F.col("n_nationkey") % 5).alias("g")).agg(F.min_by("r_name", "n_nationkey").alias("by_group"))
-    c = table(spark, sf, "customer").join(own, F.col("c_nationkey") == F.col("k"), "left").join(group, F.col("c_nationkey") % 5 == F.col("g"), "left")
-    return c.select("c_custkey", F.coalesce("by_key", "by_group", F.lit("Unknown")).alias("kingdom"))
+    known = [("Bison sp1", "Bison", "Animal", 1), ("Equus sp2", "", "animals", 2), ("", "Salix", "Viridiplantae", 3), ("Bison sp1", "", "fungi", 4), ("Bison sp9", "Bison", "Plant", 5)]
+    sk = spark.createDataFrame(known, "species string, genus string, kingdom string, ordinal int")
+    return C.annotated(records(spark, sf), CFG, species_kingdom=sk).select("ordinal", "kingdom")
 
 
 ADAPTER = "TTAACTGGACTTATCGGTAT"
@@ -226,7 +225,11 @@ def window_conflict(spark, sf):
     return screens.window_conflicts(h, CFG)
 
 
-@query("q_taxonomy_verdict")
+VERDICT = DECIDED + """, th as (select l_orderkey, l_suppkey, l_returnflag, l_linestatus, row_number() over (partition by l_orderkey order by l_linenumber * 100000000000 + l_partkey * 10000 + l_suppkey) as n from lineitem where 100 - l_discount * 400 >= 70.0 and cast(l_quantity as integer) * 100.0 / 50 >= 50.0),
+tv as (select de.*, 'S' || cast(l_suppkey as varchar) as top, case when l_orderkey is null then 'NOT_CHECKED' when l_suppkey % 2 = 0 and contains('bison sp0', lower(species)) then 'PASS_SPECIES' when l_suppkey % 2 = 0 and genus = 'Bison' then 'PASS_GENUS' else 'NO_EXPECTED_MATCH' end as st from de left join th on ordinal = l_orderkey and n = 1)"""
+
+
+@query("q_taxonomy_verdict", VERDICT + " select ordinal, st as taxonomy_status, top as taxonomy_top_hit, array_to_string(list_append(reasons, case st when 'NOT_CHECKED' then 'taxonomy_not_checked' when 'PASS_SPECIES' then 'taxonomy_same_species' when 'PASS_GENUS' then 'taxonomy_same_genus' else 'taxonomy_no_expected_match' end), ';') as reasons from tv")
 def verdict(spark, sf):
     r = ready(spark, sf).withColumn("record_key", F.col("ordinal").cast("string"))
     out = screens.taxonomy_screen(r, hits(spark, sf).withColumn("sscinames", F.when(F.col("l_suppkey") % 2 == 0, F.lit("Bison sp0")).otherwise(F.col("sscinames"))), CFG)
@@ -268,18 +271,20 @@ def names_at_ranks(spark, sf):
 
 @query("q_done_anti_join", "select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_returnflag = 'R')")
 def done(spark, sf):
-    return table(spark, sf, "orders").join(table(spark, sf, "lineitem").where("l_returnflag = 'R'"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
+    finished = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return ingest.remaining(table(spark, sf, "orders"), finished, "o_orderkey").select("o_orderkey")
 
 
 @query("q_symmetric_difference", "(select c_custkey as k from customer except select o_custkey from orders) union all (select o_custkey from orders except select c_custkey from customer)")
 def symmetric(spark, sf):
     a, b = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
-    return a.subtract(b).unionByName(b.subtract(a))
+    return occurrences.symmetric_difference(a, b)
 
 
-@query("q_best_row_argmax", "select l_orderkey, max_by(l_linenumber, row(case when l_discount > 0.05 and l_tax > 0.02 then 1 else 0 end, l_tax, l_quantity, l_discount, l_linenumber)) as l_linenumber from lineitem group by 1")
-def argmax(spark, sf):
-    ok = F.when((F.col("l_discount") > 0.05) & (F.col("l_tax") > 0.02), 1).otherwise(0)
-    return table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max_by("l_linenumber", F.struct(ok, "l_tax", "l_quantity", "l_discount", "l_linenumber")).alias("l_linenumber"))
+BEST_ROW = merged(DAMAGE, {"damage_min": 0.05, "significance_min": 0.02})
 
 
+@query("q_best_row_argmax", "with r as (select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by case when l_discount > 0.05 and l_tax > 0.02 then 1 else 0 end desc, l_tax desc, l_quantity desc, l_discount desc, l_linenumber) as n from lineitem) select l_orderkey, l_linenumber from r where n = 1")
+def argmax(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_discount").alias("damage"), F.col("l_tax").alias("significance"), F.col("l_quantity").alias("n_reads"), F.col("l_linenumber").alias("ordinal"))
+    return damage.best_rows(rows, BEST_ROW, ("l_orderkey",)).select("l_orderkey", "l_linenumber")

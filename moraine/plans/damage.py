@@ -81,12 +81,14 @@ def pivot(spark, sf):
     return D.pivoted(n, ["o_custkey"], "o_orderpriority", "n", ["1-URGENT", "5-LOW"]).withColumnsRenamed({"1-URGENT": "urgent", "5-LOW": "low"})
 
 
-@query("q_missing_libraries", "select s_suppkey from supplier where s_suppkey not in (select l_suppkey from lineitem where l_quantity > 49)")
+@query("q_missing_libraries", "with n as (select s_suppkey + case when s_suppkey % 3 = 0 then 1000000 else 0 end as s_suppkey from supplier) select s_suppkey from n where s_suppkey not in (select l_suppkey from lineitem)")
 def missing(spark, sf):
-    return D.missing_libraries(table(spark, sf, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("library")), table(spark, sf, "supplier").select(F.col("s_suppkey").alias("library"))).withColumnRenamed("library", "s_suppkey")
+    k = F.col("s_suppkey")
+    listed = table(spark, sf, "supplier").select((k + F.when(k % 3 == 0, 1000000).otherwise(0)).alias("library"))
+    return D.missing_libraries(table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("library")), listed).withColumnRenamed("library", "s_suppkey")
 
 
-TIERS = """with k as (select l_orderkey as taxon, l_partkey % 50 as tax_id, l_returnflag as tax_name, l_linestatus as tax_rank, l_suppkey as library, l_linenumber from lineitem where l_quantity > 40 group by all),
+TIERS = """with k as (select l_orderkey as taxon, l_partkey % 50 as tax_id, l_returnflag as tax_name, l_linestatus as tax_rank, l_suppkey as library, l_linenumber from lineitem group by all),
 f as (select taxon, library, max(tax_id) as tax_id, max(tax_name) as tax_name, max(tax_rank) as tax_rank from k group by 1, 2),
 d as (select s_suppkey as sample, s_suppkey % 50 as tax_id, case s_suppkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as tax_name, case s_suppkey % 2 when 0 then 'F' else 'O' end as tax_rank from supplier)
 select f.taxon, f.library, cast(case when f.tax_id = d.tax_id then 1 when f.tax_name = d.tax_name and f.tax_rank = d.tax_rank then 2 else 3 end as integer) as tier from f join d on f.library = d.sample and (f.tax_id = d.tax_id or f.tax_name = d.tax_name)"""
@@ -94,7 +96,7 @@ select f.taxon, f.library, cast(case when f.tax_id = d.tax_id then 1 when f.tax_
 
 @query("q_three_tier_join", TIERS)
 def three_tier(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_quantity > 40")
+    li = table(spark, sf, "lineitem")
     c = li.groupBy(F.col("l_orderkey").alias("taxon"), F.col("l_suppkey").alias("library")).agg(F.max(F.col("l_partkey") % 50).alias("tax_id"), F.max("l_returnflag").alias("tax_name"), F.max("l_linestatus").alias("tax_rank"))
     k = F.col("s_suppkey")
     nothing = {n: F.lit(None).cast("double") for n in ("damage", "significance", "n_reads", "n_alignments", "rho", "map_valid", "ordinal")}
@@ -134,12 +136,12 @@ def broad(spark, sf):
 
 
 @query("q_lineage_support", """with f as (select distinct l_suppkey % 10 as library, s_suppkey, s_name, n_name, r_name from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
-g as (select distinct l_orderkey % 10 as library, n_name, r_name from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where l_discount > 0.09 and l_quantity > 48)
+g as (select distinct l_orderkey % 10 as library, n_name, r_name from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)
 select distinct f.s_suppkey as taxon, f.library, g.n_name as c_name, 'genus' as c_rank from f join g on f.library = g.library and f.n_name = g.n_name""")
 def lineage_support(spark, sf):
     li = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     focal = li.select(F.col("s_suppkey").alias("taxon"), (F.col("l_suppkey") % 10).alias("library"), F.col("s_name").alias("name"), F.lit("species").alias("rank"), F.concat_ws(";", "r_name", "n_name", "s_name").alias("path")).distinct()
-    good = li.where("l_discount > 0.09 and l_quantity > 48").select((F.col("l_orderkey") % 10).alias("sample"), F.col("n_name").alias("tax_name"), F.lit("genus").alias("tax_rank"), F.concat_ws(";", "r_name", "n_name").alias("tax_path"), F.lit(1.0).alias("damage"), F.lit(99.0).alias("significance"))
+    good = li.select((F.col("l_orderkey") % 10).alias("sample"), F.col("n_name").alias("tax_name"), F.lit("genus").alias("tax_rank"), F.concat_ws(";", "r_name", "n_name").alias("tax_path"), F.lit(1.0).alias("damage"), F.lit(99.0).alias("significance"))
     return D.lineage_support(focal, good, merged(DAMAGE, {"lineage_max_steps": 3}))
 
 
@@ -205,9 +207,9 @@ def rank_filter(spark, sf):
     return table(spark, sf, "part").withColumn("rank", F.get(ranks, F.col("p_size"))).where(R.rank_allowed(F.col("rank"), "family")).select("p_partkey")
 
 
-@query("q_taxon_info_two_tier", "with d as (select min_by(l_suppkey, (l_orderkey * 10 + l_linenumber) * 10000 + l_suppkey) as v, l_partkey as k from lineitem where l_partkey % 2 = 0 group by 2), e as (select min_by(l_suppkey, (l_orderkey * 10 + l_linenumber) * 10000 + l_suppkey) as v, l_partkey % 10 as g from lineitem where l_partkey % 2 = 0 group by 2) select p_partkey, coalesce(d.v, e.v) as info from part left join d on p_partkey = k left join e on p_partkey % 10 = g")
+@query("q_taxon_info_two_tier", "with d as (select min_by(l_suppkey, (l_orderkey * 10 + l_linenumber) * 10000 + l_suppkey) as v, l_partkey as k from lineitem where l_partkey in (select p_partkey from part where p_size <= 25) group by 2), e as (select min_by(l_suppkey, (l_orderkey * 10 + l_linenumber) * 10000 + l_suppkey) as v, l_partkey % 10 as g from lineitem where l_partkey in (select p_partkey from part where p_size <= 25) group by 2) select p_partkey, coalesce(d.v, e.v) as info from part left join d on p_partkey = k left join e on p_partkey % 10 = g")
 def info(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_partkey % 2 = 0").withColumn("o", (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10000 + F.col("l_suppkey"))
+    li = table(spark, sf, "lineitem").join(table(spark, sf, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi").withColumn("o", (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 10000 + F.col("l_suppkey"))
     by_id = li.groupBy(F.col("l_partkey").alias("k")).agg(F.min_by("l_suppkey", "o").alias("a"))
     by_name = li.groupBy((F.col("l_partkey") % 10).alias("g")).agg(F.min_by("l_suppkey", "o").alias("b"))
     p = table(spark, sf, "part").join(by_id, F.col("p_partkey") == F.col("k"), "left").join(by_name, F.col("p_partkey") % 10 == F.col("g"), "left")

@@ -42,9 +42,23 @@ def bucket(spark, sf):
     return O.collection_taxa(e).select("key", "n_occurrences", "n_sites", "n_datasets", "databases", "age_young", "age_old")
 
 
-@query("q_bbox_age_filter", EVENTS + " select ordinal from e where lat between 5 and 85 and lon between -170 and -50 and age_old >= 10 and age_young <= 60")
+SPARSE = EVENTS + ", s as (select ordinal, case when ordinal % 11 > 0 then lat end as lat, case when ordinal % 13 > 0 then lon end as lon, case when ordinal % 5 > 0 then age_young end as y, case when ordinal % 7 > 0 then age_old end as o from e)"
+
+
+def sparse(spark, sf):
+    """Events of which some lack a coordinate or an age."""
+    k = F.col("ordinal")
+    return events(spark, sf).select("ordinal", F.when(k % 11 > 0, F.col("lat")).alias("lat"), F.when(k % 13 > 0, F.col("lon")).alias("lon"), F.when(k % 5 > 0, F.col("age_young")).alias("age_young"), F.when(k % 7 > 0, F.col("age_old")).alias("age_old"))
+
+
+@query("q_bbox_age_filter", SPARSE + " select ordinal from s where (lat is null or lon is null or (lat between 5 and 85 and lon between -170 and -50)) and (y is null or o is null or (o >= 10 and y <= 60))")
 def bbox(spark, sf):
-    return events(spark, sf).where(P.inside(F.col("lat"), F.col("lon"), P.region("north_america"))).where(P.overlaps(F.col("age_young"), F.col("age_old"), (10, 60))).select("ordinal")
+    return sparse(spark, sf).where(P.inside(F.col("lat"), F.col("lon"), P.region("north_america"))).where(P.overlaps(F.col("age_young"), F.col("age_old"), (10, 60))).select("ordinal")
+
+
+@query("q_required_area_age", SPARSE + " select ordinal from s where lat between 5 and 85 and lon between -170 and -50 and (y is not null or o is not null) and (y is null or o is null or (o >= 10 and y <= 60))")
+def required(spark, sf):
+    return sparse(spark, sf).where(P.inside(F.col("lat"), F.col("lon"), P.region("north_america"), require=True)).where(P.overlaps(F.col("age_young"), F.col("age_old"), (10, 60), require=True)).select("ordinal")
 
 
 @query("q_antimeridian_filter", EVENTS + " select ordinal from e where lat between -20 and 20 and (lon >= 170 or lon <= -170)")
@@ -54,7 +68,9 @@ def antimeridian(spark, sf):
 
 @query("q_min_support_having", EVENTS + " select site_id, count(*) as n, count(distinct dataset_id) as d from e group by 1 having count(*) >= 8 and count(distinct dataset_id) >= 7")
 def having(spark, sf):
-    return events(spark, sf).groupBy("site_id").agg(F.count("*").alias("n"), F.count_distinct("dataset_id").alias("d")).where("n >= 8 and d >= 7")
+    e = events(spark, sf)
+    e = e.withColumns({"search_name": F.col("site_id"), "site_id": F.col("dataset_id"), "database": F.lit(""), "taxon_id": F.lit("1"), "dataset_type": F.lit("")} | {c: F.lit("") for c in ("genus", "kingdom", "phylum", "binomial", "rank", "status")})
+    return O.collection_taxa(e, 8, 7).select(F.col("key").alias("site_id"), F.col("n_occurrences").alias("n"), F.col("n_sites").alias("d"))
 
 
 @query("q_filter_counters", EVENTS + " select count(*) as seen, count(*) filter (name = 'click') as named, count(*) filter (lat > 0) as north from e")

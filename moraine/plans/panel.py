@@ -54,29 +54,46 @@ def tile_ring(spark, sf):
     return probes(spark, sf, circular=True).join(refs(spark, sf).where("length >= 80").select("ref_id"), "ref_id", "left_semi").select("ref_id", F.col("ref_start").cast("long").alias("ref_start"), F.col("ref_end").cast("long").alias("ref_end"), F.sha2("seq", 256).alias("seq_sha256"))
 
 
-COUNTED = TILES + """, pm as (select *, (length(bait) - length(translate(bait, 'GC', ''))) / 80.0::double as gc, length(bait) - length(translate(bait, 'N', '')) as amb, bait like '%GAAGAGC%' or bait like '%GCTCTTC%' as site from pr)"""
+NEIGHBOURS = ", ".join(f"('{k}', {h}, {e})" for k, (h, e) in S.RNA_DNA.items())
+#: Probes with their metrics, as cased() makes them.
+COUNTED = TILES + f""", pc as (select * replace (case when ref_id % 4 in (1, 2) then translate(bait, 'N', 'G') else bait end as bait) from pr),
+nn as (select * from (values {NEIGHBOURS}) as t(pair, h, e)),
+di as (select bait_id, substr(bait, i, 2) as pair from (select bait_id, bait, unnest(generate_series(1, 79)) as i from pc where not contains(bait, 'N'))),
+th as (select bait_id, 1000 * ({S.INITIATION[0]}::double + sum(h::double)) / ({S.INITIATION[1]}::double + sum(e::double) + 0.368::double * 79 * ln(0.05::double) + 1.987::double * ln(12.5e-9::double)) - 273.15::double as tm from di join nn using (pair) group by 1),
+pm as (select pc.*, (length(bait) - length(translate(bait, 'GC', ''))) / 80.0::double as gc, length(bait) - length(translate(bait, 'N', '')) as amb, bait like '%GAAGAGC%' or bait like '%GCTCTTC%' as site, ref_id % 4 = 0 as masked, coalesce(tm, 0.0) as tm from pc left join th using (bait_id))"""
+LEAST_TM = 74.0
 
 
-@query("q_probe_stats", COUNTED + " select count(*) as n, round(avg(gc), 6) as gc_avg, min(gc) as gc_min, max(gc) as gc_max, round(avg(amb), 6) as amb_avg from pm")
+def cased(spark, sf):
+    """Metrics of all probes: of every fourth reference they are in lower case, that is masked, and of two more N reads as G."""
+    k = F.col("ref_id") % 4
+    return T.metrics(probes(spark, sf).withColumn("seq", F.when(k == 0, F.lower("seq")).when(k < 3, F.translate("seq", "N", "G")).otherwise(F.col("seq"))))
+
+
+@query("q_probe_stats", COUNTED + ", q as (select *, case when masked then (case when ref_end - ref_start < 79 then (ref_end - ref_start + 1) / 80.0 else 1.0 end)::double else 0.0::double end as mf from pm) select count(*) as n, round(avg(gc), 6) as gc_avg, min(gc) as gc_min, max(gc) as gc_max, round(avg(amb), 6) as amb_avg, round(avg(tm), 5) as tm_avg, round(min(tm), 5) as tm_min, round(max(tm), 5) as tm_max, round(avg(case when masked then 1.0::double else 0.0::double end), 6) as masked_avg from q")
 def probe_stats(spark, sf):
-    s = T.probe_stats(T.metrics(probes(spark, sf)))
-    return s.select("n", F.round("gc_frac_avg", 6).alias("gc_avg"), F.col("gc_frac_min").alias("gc_min"), F.col("gc_frac_max").alias("gc_max"), F.round("ambiguous_count_avg", 6).alias("amb_avg"))
+    s = T.probe_stats(cased(spark, sf))
+    tm = [F.round(f"tm_{x}", 5).alias(f"tm_{x}") for x in ("avg", "min", "max")]
+    return s.select("n", F.round("gc_frac_avg", 6).alias("gc_avg"), F.col("gc_frac_min").alias("gc_min"), F.col("gc_frac_max").alias("gc_max"), F.round("ambiguous_count_avg", 6).alias("amb_avg"), *tm, F.round("masked_frac_avg", 6).alias("masked_avg"))
+
+
+LEFT = "amb < 10 and not masked"
 
 
-@query("q_stage_counts_pivot", COUNTED + " select ref_id, count(*) as tiled, count(*) filter (amb < 10) as after_1, count(*) filter (amb < 10) as after_2, count(*) filter (amb < 10) as after_3, count(*) filter (amb < 10 and not site) as after_4 from pm group by 1")
+@query("q_stage_counts_pivot", COUNTED + f" select ref_id, count(*) as tiled, count(*) filter (amb < 10) as after_1, count(*) filter ({LEFT}) as after_2, count(*) filter ({LEFT} and round(tm, 6) >= {LEAST_TM}) as after_3, count(*) filter ({LEFT} and round(tm, 6) >= {LEAST_TM} and not site) as after_4 from pm group by 1")
 def stage_counts(spark, sf):
-    return T.stage_counts(T.funnel(T.metrics(probes(spark, sf)), min_tm=-1000.0))
+    return T.stage_counts(T.funnel(cased(spark, sf).withColumn("tm", F.round("tm", 6)), min_tm=LEAST_TM))
 
 
-@query("q_panel_filters", COUNTED + " select bait_id from pm where amb < 30 and gc between 0.2 and 0.8 and not site")
+@query("q_panel_filters", COUNTED + f" select bait_id from pm where amb < 30 and not masked and round(tm, 6) >= {LEAST_TM} and gc between 0.2 and 0.8 and not site")
 def filters(spark, sf):
-    return T.funnel(T.metrics(probes(spark, sf)), max_ambiguous=30, min_tm=-1000.0).where((F.col("stage") == 4) & F.col("gc_frac").between(0.2, 0.8)).select("bait_id")
+    return T.funnel(cased(spark, sf).withColumn("tm", F.round("tm", 6)), max_ambiguous=30, min_tm=LEAST_TM).where((F.col("stage") == 4) & F.col("gc_frac").between(0.2, 0.8)).select("bait_id")
 
 
-@query("q_melting_range")
+@query("q_melting_range", COUNTED + " select bait_id, round(tm, 4) as tm from pm where amb = 0")
 def melting(spark, sf):
-    """One row a probe of plain bases; tests hold the function against published ranges."""
-    return T.metrics(probes(spark, sf)).where("ambiguous_count = 0").select("bait_id", F.round("tm", 4).alias("tm"))
+    """One row a probe of plain bases."""
+    return cased(spark, sf).where("ambiguous_count = 0").select("bait_id", F.round("tm", 4).alias("tm"))
 
 
 @query("q_coverage_sweep", RING + SWEEP + " select ref_id, cast(f as bigint) as \"from\", cast(t as bigint) as \"to\", cast(depth as bigint) as depth from sg2")
@@ -97,17 +114,18 @@ def target_info(spark, sf):
 @query("q_recommendations_union", COUNTED + STATS + """, ru as (select 'high' as severity, 'coverage_gap' as category, cast(ref_id as varchar) as target, proportion_covered as value from ts where proportion_covered < 0.95
   union all select 'medium', 'low_depth', cast(ref_id as varchar), mean_depth from ts where mean_depth < 2.5
   union all select 'medium', 'uneven_coverage', cast(ref_id as varchar), std_dev from ts where std_dev > greatest(mean_depth, 1.0)
+  union all select 'medium', 'thermodynamics', 'panel', count(*)::double from pm where tm < 50 having count(*) > 0
   union all select 'low', 'gc_outliers', 'panel', count(*)::double from pm where gc > 0.8 or gc < 0.2 having count(*) > 0
   union all select 'high', 'opool_compatibility', 'panel', count(*)::double from pm where site having count(*) > 0)
 select severity, category, target, round(value, 5) as value from ru union all select 'info', 'no_action', 'panel', 0.0 where not exists (select 1 from ru)""")
 def recommend(spark, sf):
-    p = T.metrics(probes(spark, sf)).withColumn("tm", F.lit(99.0))
+    p = cased(spark, sf)
     return V.recommendations(V.target_stats(V.segments(probes(spark, sf), refs(spark, sf))), p, 0.95, 2.5).withColumn("value", F.round("value", 5))
 
 
 @query("q_probes_per_target", TILES + " select bait_seq, count(distinct ref_id) as n_targets, count(*) as n_probes from (select ref_id, bait as bait_seq from pr) group by 1")
 def per_target(spark, sf):
-    return probes(spark, sf).groupBy(F.col("seq").alias("bait_seq")).agg(F.count_distinct("ref_id").alias("n_targets"), F.count("*").alias("n_probes"))
+    return T.per_sequence(probes(spark, sf))
 
 
 @query("q_revcomp_pair_removal", "with b as (select o_orderkey, substr(translate(lpad(cast(o_orderkey % 999 as varchar), 4, '0'), '0123456789', 'ACGTACGTAC'), 1, 4) as s from orders), c as (select *, reverse(translate(s, 'ACGT', 'TGCA')) as rc from b), w as (select *, first_value(s) over (partition by least(s, rc) order by o_orderkey) as f, row_number() over (partition by least(s, rc) order by o_orderkey) as n from c) select o_orderkey, s as seq from w where s = f and (s <> rc or n = 1)")
@@ -157,7 +175,19 @@ def densities(spark, sf):
     return T.estimated(refs(spark, sf), [1.0, 2.0, 3.0, 4.0])
 
 
-@query("q_density_choice")
+def estimate(density):
+    """SQL for the number of probes that linear tiling makes at a density."""
+    step = f"greatest(1, cast(round_even(80 / ({density}), 0) as bigint))"
+    return f"(select cast(sum(c * case when n <= 70 then 0 when n < 80 then case when n >= 71 then 1 else 0 end else ((n - 80 + {step} - 1) // {step}) + 1 end) as bigint) from ln)"
+
+
+CHOICE = WITH.replace("with ", "with recursive ", 1) + f""", ln as (select length as n, count(*) as c from met group by 1),
+b as (select 0 as i, 0.5::double as low, 4.0::double as high, 8.0::double as gap union all
+  select i + 1, case when f <= 3000 then mid else low end, case when f <= 3000 then high else mid end, (high - low) / 2 from (select *, (low + high) / 2 as mid, {estimate('(low + high) / 2')} as f from b where i < 25 and gap >= 0.001)),
+z as (select case when {estimate('4.0')} <= 3000 then 4.0 when {estimate('0.5')} > 3000 then 0.5 else (select low from b order by i desc limit 1) end as density)"""
+
+
+@query("q_density_choice", CHOICE + f" select cast(density as double) as density, {estimate('density')} as n from z")
 def density_choice(spark, sf):
     d, n = T.chosen_density(refs(spark, sf), 3000, 0.5, 4.0)
     return spark.createDataFrame([(float(d), int(n))], "density double, n long")
@@ -175,7 +205,7 @@ def greedy(spark, sf):
 
 @query("q_augment_panel")
 def augment(spark, sf):
-    return V.augment(refs(spark, sf).where("length >= 80"), probes(spark, sf, density=0.5), 1, rounds=2).groupBy("ref_id").agg(F.count("*").alias("n"))
+    return V.augment(refs(spark, sf), probes(spark, sf, density=0.5), 1, rounds=2).groupBy("ref_id").agg(F.count("*").alias("n"))
 
 
 @query("q_seed_hits")
@@ -187,7 +217,7 @@ def seeds(spark, sf):
 
 @query("q_self_redundancy")
 def self_redundancy(spark, sf):
-    li = table(spark, sf, "lineitem").where("l_quantity >= 49").select("l_orderkey", "l_partkey")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     pairs = li.alias("x").join(li.alias("y"), "l_orderkey").where("x.l_partkey <> y.l_partkey").select(F.col("x.l_partkey").alias("a"), F.col("y.l_partkey").alias("b")).distinct()
     return D.greedy_representatives(pairs)
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from moraine.plans import curate, damage, occur, panel
+from moraine.plans import checks, curate, damage, occur, panel
 
-QUERIES: dict = {**curate.QUERIES, **panel.QUERIES, **damage.QUERIES, **occur.QUERIES}
-ORACLES: dict = {**curate.ORACLES, **panel.ORACLES, **damage.ORACLES, **occur.ORACLES}
+QUERIES: dict = {**curate.QUERIES, **panel.QUERIES, **damage.QUERIES, **occur.QUERIES, **checks.QUERIES}
+ORACLES: dict = {**curate.ORACLES, **panel.ORACLES, **damage.ORACLES, **occur.ORACLES, **checks.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
+import zipfile
+from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from moraine.functions.names import library_stem, plain
+
 # Columns of tool tables in their order.
 TAXONOMY_HITS = "qseqid string, saccver string, pident string, length string, qlen string, qstart string, qend string, evalue string, bitscore string, staxids string, sscinames string"
 VECTOR_HITS = "qseqid string, sseqid string, pident string, length string, qstart string, qend string, sstart string, send string, evalue string, bitscore string"
@@ -31,15 +37,94 @@ def read_table(spark: SparkSession, path: str, sep: str | None = None, ordinal:
     return df.withColumn("ordinal", F.monotonically_increasing_id()) if ordinal else df
 
 
+def _content(spark: SparkSession, path: str) -> bytes:
+    """A small file's bytes, through Spark, so that any store works."""
+    return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
+
+
 def read_excel(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """A workbook's sheet, where pandas can read one; small by nature, so it goes through the driver."""
-    try:
-        import pandas as pd
-
-        frame = pd.read_excel(path, sheet_name=sheet, dtype=str)
-    except ImportError as e:
-        raise RuntimeError("reading workbooks needs an installed reader; save the sheet as TSV instead") from e
-    return spark.createDataFrame(frame.where(frame.notna(), None))
+    """A workbook's sheet as strings, blanks null, its first row being the header. A workbook is one zip of XML, small by nature, so it goes through the driver."""
+    ns = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+    with zipfile.ZipFile(io.BytesIO(_content(spark, path))) as z:
+        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+        names = [s.get("name") for s in book.iter(ns + "sheet")]
+        at = names.index(sheet) if isinstance(sheet, str) else sheet
+        shared = []
+        if "xl/sharedStrings.xml" in z.namelist():
+            shared = ["".join(t.text or "" for t in si.iter(ns + "t")) for si in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).iter(ns + "si")]
+        rows = []
+        for row in ElementTree.fromstring(z.read(f"xl/worksheets/sheet{at + 1}.xml")).iter(ns + "row"):
+            cells = {}
+            for i, c in enumerate(row.iter(ns + "c")):
+                letters = re.match("[A-Z]*", c.get("r") or "").group()
+                place = sum((ord(x) - 64) * 26**k for k, x in enumerate(reversed(letters))) - 1 if letters else i
+                value = c.findtext(ns + "v")
+                text = "".join(t.text or "" for t in c.iter(ns + "t")) if c.get("t") == "inlineStr" else shared[int(value)] if c.get("t") == "s" and value else value
+                cells[place] = (text or "").strip() or None
+            rows.append(cells)
+    if not rows:
+        raise ValueError(f"an empty sheet: {path}")
+    columns = [(i, n) for i, n in sorted(rows[0].items()) if n]
+    return spark.createDataFrame([tuple(r.get(i) for i, _ in columns) for r in rows[1:]], ", ".join(f"`{n}` string" for _, n in columns))
+
+
+def read_export(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Tables of a zipped export by kind (kind_of_export); an export is small, so its files go through the driver."""
+    out = {}
+    with zipfile.ZipFile(io.BytesIO(_content(spark, path))) as z:
+        for name in sorted(z.namelist()):
+            if name.lower().endswith((".csv", ".tsv", ".txt")):
+                lines = z.read(name).decode("utf-8-sig", "replace").splitlines()
+                if len(lines) > 1:
+                    rows = list(csv.reader(lines, delimiter=sniff(lines[0])))
+                    columns = [c.strip() for c in rows[0]]
+                    kind = kind_of_export(name.rsplit("/", 1)[-1], columns)
+                    got = [tuple((r + [""] * len(columns))[i].strip() or None for i in range(len(columns))) for r in rows[1:]]
+                    out.setdefault(kind, spark.createDataFrame(got, ", ".join(f"`{c}` string" for c in columns)))
+    return out
+
+
+def expanded(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Folders replaced by their tables: .tsv files by name, then .csv files; files stay. A path without any is an error."""
+    jvm, out = spark._jvm, []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            raise ValueError(f"no such path: {path}")
+        found = sorted(s.getPath().toString() for s in fs.listStatus(p)) if fs.getFileStatus(p).isDirectory() else None
+        inside = [path] if found is None else [f for e in (".tsv", ".csv") for f in found if f.lower().endswith(e)]
+        if not inside:
+            raise ValueError(f"no tables in {path}")
+        out += inside
+    return out
+
+
+def matrix_columns(spark: SparkSession, paths: list[str], keys: tuple[str, ...] = ("tax_id", "tax_name", "tax_rank", "taxon_id", "#Datasets", "Name", "Taxon", "rank")) -> DataFrame:
+    """column, stem, file, ordinal of the libraries of count matrices, from their header lines only; the first of a stem wins."""
+    rows = []
+    for path in paths:
+        line = head(spark, path)
+        rows += [(c.strip().strip('"'), path) for c in line.split(sniff(line)) if c.strip().strip('"') not in keys]
+    df = spark.createDataFrame([(c, f, i) for i, (c, f) in enumerate(rows)], "column string, file string, ordinal long")
+    return df.groupBy(library_stem(F.col("column")).alias("stem")).agg(*(F.min_by(c, "ordinal").alias(c) for c in ("column", "file")), F.min("ordinal").alias("ordinal"))
+
+
+def damage_table(spark: SparkSession, path: str) -> DataFrame:
+    """sample, tax_id, tax_name, tax_rank, tax_path, n_reads, n_alignments, damage, significance, rho, map_valid, ordinal.
+
+    Only these columns are read; names lose blanks and ranks case, and a fit that is not said to be valid is not.
+    """
+    numbers = {"N_reads": "n_reads", "N_alignments": "n_alignments", "damage": "damage", "significance": "significance", "rho_Ac": "rho"}
+    t = read_table(spark, path)
+    has = lambda c: F.col(c) if c in t.columns else F.lit(None).cast("string")
+    num = [has(c).try_cast("double").alias(n) for c, n in numbers.items()]
+    return t.select("sample", "tax_id", plain(F.col("tax_name")).alias("tax_name"), F.lower(plain(F.col("tax_rank"))).alias("tax_rank"), has("tax_path").alias("tax_path"), *num, F.coalesce(F.lower(has("MAP_valid")).isin("true", "1"), F.lit(False)).alias("map_valid"), "ordinal")
+
+
+def sample_names(spark: SparkSession, path: str) -> DataFrame:
+    """The distinct samples of a damage table; no other column is read."""
+    return read_table(spark, path, ordinal=False).select("sample").where("sample <> ''").distinct()
 
 
 def aliased(df: DataFrame, aliases: dict[str, list[str]], required: tuple[str, ...] = ()) -> DataFrame:

@@ -27,3 +27,20 @@ def test_flows_on_small_files(spark, tmp_path):
     (tmp_path / "m2.csv").write_text("scientificName,source,kingdom\nBison bison alba,pbdb,Animalia\n")
     cli.main(["merge", str(tmp_path / "m1.csv"), str(tmp_path / "m2.csv"), "--priority", "pbdb,now", "--out", out("m")])
     assert spark.read.csv(out("m/taxa"), header=True).first().preferred_source == "pbdb"
+    cli.main(["report", out("c/decisions"), "--out", out("r")])
+    assert {(r.section, r.key) for r in spark.read.csv(out("r/summary"), sep="\t", header=True).collect()} == {(r.section, r.key) for r in spark.read.csv(out("c/summary"), sep="\t", header=True).collect()}
+    cli.main(["check", str(tmp_path / "counts.tsv"), str(tmp_path / "dmg.csv"), str(tmp_path / "link.csv"), "--out", out("k")])
+    assert {(r.section, r.key): r.value for r in spark.read.csv(out("k/inputs"), sep="\t", header=True).collect()}["counts", "libraries"] == "3"
+    assert spark.read.csv(out("k/warnings"), sep="\t", header=True).first().kind == "none"
+    p = dna(80)
+    (tmp_path / "pr.fa").write_text(f">T|b1|pos1-80\n{p}\n>odd\n{dna(80)}\n>far\n{dna(80)}\n")
+    (tmp_path / "tg.fa").write_text(f">T\n{p + dna(220)}\n>U\n{dna(100)}\n")
+    (tmp_path / "hits.tsv").write_text("probe\ttarget\tsstart\tsend\tstrand\tidentities\tlength\tbits\tmatch\tsubject\n" + f"odd\tU\t11\t70\tplus\t60\t60\t99\t{'|' * 60}\t{'A' * 60}\nfar\tU\t1\t9\tplus\t9\t9\t9\t|||\tAAA\n")
+    cli.main(["audit", str(tmp_path / "pr.fa"), str(tmp_path / "tg.fa"), str(tmp_path / "hits.tsv"), "--out", out("a")])
+    assert {r.probe: (r.ref_id, r.ref_start, r.ref_end, r.source) for r in spark.read.csv(out("a/placements"), sep="\t", header=True).collect()} == {"T|b1|pos1-80": ("T", "1", "80", "id"), "odd": ("U", "11", "70", "hit")}
+    (tmp_path / "near.tsv").write_text("qseqid\tsseqid\tnident\tlength\nodd\tfar\t78\t80\n")
+    cli.main(["cluster", str(tmp_path / "pr.fa"), str(tmp_path / "near.tsv"), "--out", out("cl")])
+    assert spark.read.text(out("cl/probes")).where("value like '>%'").count() == 2
+    (tmp_path / "meta.tsv").write_text("library\tsample\ttype\tsite\tcontext\nA\tS-1\tsediment\tS\t\nBLK\tS-9\textraction blank\tS\t\n")
+    cli.main(["linker", str(tmp_path / "counts.tsv"), "--metadata", str(tmp_path / "meta.tsv"), "--damage", str(tmp_path / "dmg.csv"), "--out", out("l")])
+    assert {r.column: r.control_type for r in spark.read.csv(out("l/linker"), sep="\t", header=True).collect()} == {"A": "not_control", "B": "not_control", "BLK": "negative_control"}

@@ -6,10 +6,11 @@ import pytest
 
 from moraine.plans import registry
 
-#: The sample x taxon grid is every pairing by definition; one-row tables join without keys.
-PAIRINGS = {"q_dense_grid", "q_recommendations_union"}
-PYTHON = {"q_greedy_cover", "q_augment_panel", "q_self_redundancy"}
-EAGER = {"q_density_choice"}
+#: The sample x taxon grid is every pairing by definition; one-row tables join without keys; containment of names has none.
+PAIRINGS = {"q_dense_grid", "q_recommendations_union", "q_recommendation_counts", "q_target_resolution"}
+PYTHON = {"q_greedy_cover"}
+#: They run jobs while they are built: rounds that are stored, files that are landed.
+EAGER = {"q_density_choice", "q_augment_panel", "q_self_redundancy", "q_cluster_representatives", "q_lineage_walk", "q_names_at_ranks"}
 
 
 def plan(df):
@@ -31,7 +32,7 @@ def test_python_only_where_an_algorithm_is_sequential(plans):
 
 def test_scans_read_what_is_needed(plans):
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in plans["q_best_primer"]
-    assert re.search(r"PushedFilters: \[.*GreaterThan\(l_quantity,40.0\)", plans["q_three_tier_join"])
+    assert re.search(r"PushedFilters: \[.*GreaterThan\(l_quantity,20.0\)", plans["q_union_dedup"])
     assert re.search(r"PushedFilters: \[.*EqualTo\(l_returnflag,R\)", plans["q_done_anti_join"])
 
 
