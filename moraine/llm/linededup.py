@@ -38,14 +38,17 @@ def tidy(text: Column) -> Column:
     return F.when(rough, F.regexp_replace(low, r"[ \t\x0b\f\r]+", " ")).otherwise(low)
 
 
-def halves(line: Column, n: Column, edit_words: int) -> Column:
-    """(tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and, of lines that may be the longer one, one less (2, 3)."""
-    out = []
-    for less in (0, 1):
-        h = F.floor((n - less) / 2).cast("int")
-        ends = (F.call_function("substring_index", line, F.lit(" "), h), F.call_function("substring_index", line, F.lit(" "), -h))
-        out += [F.struct(F.lit(2 * less + i).alias("tag"), F.xxhash64(n - less, F.lit(i), e).alias("k")) for i, e in enumerate(ends)]
-    return F.when(n >= edit_words, F.array(*out)).when(n == edit_words - 1, F.array(*out[:2]))
+def with_halves(lines: DataFrame, edit_words: int) -> DataFrame:
+    """lines (line, n) with ks: (tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and, of
+    lines that may be the longer one, one less (tags 2, 3; of an odd number of words these are the same halves)."""
+    n, h = F.col("n"), F.floor(F.col("n") / 2).cast("int")
+    ends = lambda h: (F.call_function("substring_index", "line", F.lit(" "), h), F.call_function("substring_index", "line", F.lit(" "), -h))
+    own = [F.when(n >= edit_words - 1, F.xxhash64(e)) for e in ends(h)]
+    less = [F.when((n >= edit_words) & (n % 2 == 0), F.xxhash64(e)) for e in ends(h - 1)]
+    out = lines.withColumns({"p0": own[0], "p1": own[1], "q0": less[0], "q1": less[1]})
+    key = lambda tag, m, p: F.struct(F.lit(tag).alias("tag"), F.xxhash64(m, F.lit(tag % 2), p).alias("k"))
+    ks = [key(0, n, F.col("p0")), key(1, n, F.col("p1")), key(2, n - 1, F.coalesce("q0", "p0")), key(3, n - 1, F.coalesce("q1", "p1"))]
+    return out.withColumn("ks", F.when(n >= edit_words, F.array(*ks)).when(n == edit_words - 1, F.array(*ks[:2])))
 
 
 def running_xor(values: Column) -> Column:
@@ -107,8 +110,9 @@ def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, edit_words: int = EDIT_WORDS) -> DataFrame:
     """(at, near) of the lines to leave out; at is (did, no, th), near tells edits from exact copies."""
-    lines = numbered(docs, doc_id, text).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1).where((F.col("line") != "") & (F.col("n") >= min_words))
-    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), halves(F.col("line"), F.col("n"), max(2, edit_words)).alias("ks")), "lines")
+    lines = numbered(docs, doc_id, text).withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1).where((F.col("line") != "") & (F.col("n") >= min_words))
+    lines = with_halves(lines, max(2, edit_words))
+    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "ks"), "lines")
     each = stored(lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("copies"), F.first("ks").alias("ks")), "each")
     keyed = each.where("ks is not null").select("at", F.explode("ks").alias("x")).select("at", "x.tag", "x.k")
     shared = stored(keyed.groupBy("k").agg(F.count_distinct("at").alias("c")).where("c > 1").select("k"), "halves")
