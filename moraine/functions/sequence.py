@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,16 +117,50 @@ RNA_DNA = {
 INITIATION = (1.9, -3.9)
 
 
+# Enthalpy and entropy of DNA pairs (SantaLucia 1998), of ends and of a sequence that is its own complement.
+DNA_DNA = {
+    "AA": (-7.9, -22.2), "AT": (-7.2, -20.4), "TA": (-7.2, -21.3), "CA": (-8.5, -22.7), "GT": (-8.4, -22.4),
+    "CT": (-7.8, -21.0), "GA": (-8.2, -22.2), "CG": (-10.6, -27.2), "GC": (-9.8, -24.4), "GG": (-8.0, -19.9),
+}
+END_GC, END_AT, SYMMETRY = (0.1, -2.8), (2.3, 4.1), -1.4
+
+
+def dna_pairs() -> dict[str, tuple[float, float]]:
+    """The values of all sixteen pairs; a pair and its reverse complement stack alike."""
+    return DNA_DNA | {p.translate(str.maketrans("ACGT", "TGCA"))[::-1]: v for p, v in DNA_DNA.items()}
+
+
+def _stacked(s: Column, pairs: dict[str, tuple[float, float]], start: tuple[float, float]) -> Column:
+    """struct(h, s): start and the values of every pair of neighbours."""
+    each = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
+    table = F.create_map(*(x for p, v in pairs.items() for x in (F.lit(p), F.struct(F.lit(v[0]).alias("h"), F.lit(v[1]).alias("s")))))
+    begin = F.struct(F.lit(start[0]).alias("h"), F.lit(start[1]).alias("s"))
+    return F.aggregate(each, begin, lambda acc, p: F.struct((acc["h"] + table[p]["h"]).alias("h"), (acc["s"] + table[p]["s"]).alias("s")))
+
+
 def melting_point(seq: Column, strand_nM: float = 25.0, other_nM: float = 25.0, sodium_mM: float = 50.0) -> Column:
     """Nearest-neighbour melting temperature in degrees Celsius of an RNA probe on DNA; null for empty sequences or other letters."""
-    import math
-
     s = F.upper(seq)
-    h, e = F.lit(INITIATION[0]), F.lit(INITIATION[1])
-    pairs = F.transform(F.sequence(F.lit(1), F.length(s) - 1), lambda i: F.substring(s, i, F.lit(2)))
-    table = F.create_map(*(x for p, v in RNA_DNA.items() for x in (F.lit(p), F.struct(F.lit(v[0]).alias("h"), F.lit(v[1]).alias("s")))))
-    total = F.aggregate(pairs, F.struct(h.alias("h"), e.alias("s")), lambda acc, p: F.struct((acc["h"] + table[p]["h"]).alias("h"), (acc["s"] + table[p]["s"]).alias("s")))
+    total = _stacked(s, RNA_DNA, INITIATION)
     k = (strand_nM - other_nM / 2) * 1e-9
     salt = 0.368 * (F.length(s) - 1) * math.log(sodium_mM / 1000)
     tm = 1000 * total["h"] / (total["s"] + salt + 1.987 * math.log(k)) - 273.15
     return F.when((F.length(s) > 1) & s.rlike("^[ACGT]+$"), tm)
+
+
+def dna_melting_point(seq: Column, strand_nM: float = 50.0, monovalent_mM: float = 50.0, divalent_mM: float = 1.5, dntp_mM: float = 0.6) -> Column:
+    """Nearest-neighbour melting temperature in degrees Celsius of a DNA primer; null for empty sequences or other letters.
+
+    Divalent ions that the nucleotides leave free count as 120 times the root of their concentration.
+    """
+    s = F.upper(seq)
+    total = _stacked(s, dna_pairs(), (0.0, 0.0))
+    ends = [F.substring(s, 1, 1).isin("A", "T").cast("int"), F.substring(s, -1, 1).isin("A", "T").cast("int")]
+    at = ends[0] + ends[1]
+    h = total["h"] + at * END_AT[0] + (2 - at) * END_GC[0]
+    own = s == reverse_complement(s)
+    e = total["s"] + at * END_AT[1] + (2 - at) * END_GC[1] + F.when(own, F.lit(SYMMETRY)).otherwise(F.lit(0.0))
+    salt_mM = monovalent_mM + 120 * math.sqrt(max(0.0, divalent_mM - dntp_mM))
+    strands = F.when(own, F.lit(math.log(strand_nM / 1e9))).otherwise(F.lit(math.log(strand_nM / 4e9)))
+    tm = 1000 * h / (e + 0.368 * (F.length(s) - 1) * math.log(salt_mM / 1000) + 1.987 * strands) - 273.15
+    return F.when((F.length(s) > 1) & s.rlike("^[ACGT]+$"), tm)

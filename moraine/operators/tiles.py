@@ -157,14 +157,20 @@ def probe_place(probe_id: Column, length: Column) -> Column:
     return out.otherwise(none)
 
 
-def primer_candidates(spark, length: int = 18, suffix: str = "GCTCTTCG") -> DataFrame:
-    """Every primer with the fixed suffix, no letter three times running and no site but the suffix's, as a distributed range."""
+def primer_candidates(spark, length: int = 18, suffix: str = "GCTCTTCG", window: float | None = None) -> DataFrame:
+    """Every primer with the fixed suffix, no letter three times running and no site but the suffix's, as a distributed range.
+
+    With a window only primers that melt less than so many degrees from the promoter.
+    """
     k = length - len(suffix)
     letters = F.lit("ACGT")
     digits = F.transform(F.sequence(F.lit(k - 1), F.lit(0), F.lit(-1)), lambda i: F.substring(letters, (F.floor(F.col("id") / F.pow(F.lit(4), i)) % 4 + 1).cast("int"), F.lit(1)))
     seq = F.concat(F.array_join(digits, ""), F.lit(suffix))
     out = spark.range(4**k).select(seq.alias("primer"))
-    return out.where(~F.col("primer").rlike("AAA|TTT|GGG|CCC") & ~F.contains("primer", F.lit(SITES[0])) & ~F.contains(F.substring("primer", 1, length - 2), F.lit(SITES[1])))
+    out = out.where(~F.col("primer").rlike("AAA|TTT|GGG|CCC") & ~F.contains("primer", F.lit(SITES[0])) & ~F.contains(F.substring("primer", 1, length - 2), F.lit(SITES[1])))
+    if window is None:
+        return out
+    return out.where(F.abs(S.dna_melting_point(F.col("primer")) - S.dna_melting_point(F.lit(PROMOTER))) < window)
 
 
 def best_primer(hits: DataFrame) -> DataFrame:

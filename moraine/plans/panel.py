@@ -227,6 +227,20 @@ def primers(spark, sf):
     return T.primer_candidates(spark).groupBy(F.substring("primer", 1, 2).alias("head")).agg(F.count("*").alias("n"))
 
 
+PAIRS = {name: "map {" + ", ".join(f"'{p}': {v[i]}" for p, v in S.dna_pairs().items()) + "}" for i, name in enumerate(("h", "e"))}
+TM = """1000 * (h + ta * 2.3 + (2 - ta) * 0.1) / (e + ta * 4.1 + (2 - ta) * -2.8 + 0.368 * (length(x) - 1) * ln((50 + 120 * sqrt(0.9)) / 1000)
+  + 1.987 * ln(50 / 4e9)) - 273.15"""
+
+
+@query("q_primer_window", f"""with d as (select range as id from range(1048576)), p as (select array_to_string(list_transform([9, 8, 7, 6, 5, 4, 3, 2, 1, 0], lambda i: substr('ACGT', cast((id // cast(power(4, i) as bigint)) % 4 + 1 as integer), 1)), '') || 'GCTCTTCG' as x from d),
+k as (select x from p where not regexp_matches(x, 'AAA|TTT|GGG|CCC') and not contains(x, 'GAAGAGC') and not contains(substr(x, 1, 16), 'GCTCTTC') union all select 'GCTAATACGACTCACTATAGGG'),
+s as (select x, list_sum(list_transform(range(1, length(x)), lambda i: cast({PAIRS["h"]}[substr(x, i, 2)] as double))) as h, list_sum(list_transform(range(1, length(x)), lambda i: cast({PAIRS["e"]}[substr(x, i, 2)] as double))) as e,
+  cast(x[1] in ('A', 'T') as integer) + cast(x[-1] in ('A', 'T') as integer) as ta from k), t as (select x, {TM} as tm from s)
+select x as primer, round(tm, 4) as tm from t where length(x) = 18 and abs(tm - (select tm from t where length(x) = 22)) < 0.1""")
+def primers_of_one_temperature(spark, sf):
+    return T.primer_candidates(spark, window=0.1).select("primer", F.round(S.dna_melting_point(F.col("primer")), 4).alias("tm"))
+
+
 @query("q_best_primer", "select cast(min_by(l_suppkey, row(t, l_suppkey)) as varchar) as primer_id, cast(min(t) as bigint) as total from (select l_suppkey, sum(cast(l_quantity as bigint)) as t from lineitem group by 1)")
 def best_primer(spark, sf):
     h = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("qseqid"), F.col("l_quantity").cast("long").alias("nident"))

@@ -67,3 +67,24 @@ def test_softmask_against_brute_force(spark):
     got = softmasked(rows(spark, seqs), k, least, "i", "s").orderBy("i").collect()
     assert [r.s for r in got] == expected
     assert math.isfinite(len(got))
+
+
+def test_dna_melting_point(spark):
+    seqs = ["GCTAATACGACTCACTATAGGG", "AGTC", "ACGT", "acgtta", "", "A", "ACNT"]
+    pairs = S.dna_pairs()
+    assert len(pairs) == 16
+
+    def plain(t):
+        t = t.upper()
+        if len(t) < 2 or set(t) - set("ACGT"):
+            return None
+        own = t == t.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        ends = [S.END_AT if c in "AT" else S.END_GC for c in (t[0], t[-1])]
+        h, e = (sum(pairs[t[i : i + 2]][x] for i in range(len(t) - 1)) + sum(v[x] for v in ends) for x in (0, 1))
+        e += S.SYMMETRY if own else 0
+        e += 0.368 * (len(t) - 1) * math.log((50 + 120 * 0.9**0.5) / 1000)
+        return 1000 * h / (e + 1.987 * math.log(50e-9 / (1 if own else 4))) - 273.15
+
+    got = values(spark, seqs, S.dna_melting_point(F.col("s")))
+    assert got == [None if plain(t) is None else pytest.approx(plain(t)) for t in seqs]
+    assert 50 < got[0] < 65
