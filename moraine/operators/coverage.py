@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from moraine.scratch import stored
 
+STRETCH = 4096
+
 
 def segments(intervals: DataFrame, targets: DataFrame, target: str = "ref_id", start: str = "ref_start", end: str = "ref_end", length: str = "length") -> DataFrame:
     """target, from, to (0-based, half open), depth: runs of constant depth over every target, zero depth included.
@@ -32,29 +36,46 @@ def target_stats(segs: DataFrame, target: str = "ref_id") -> DataFrame:
     return segs.groupBy(target).agg(n.alias("length"), (F.sum(F.when(F.col("depth") > 0, w).otherwise(0)) / n).alias("proportion_covered"), (m / n).alias("mean_depth"), F.sqrt(F.greatest(m2 / n - (m / n) * (m / n), F.lit(0.0))).alias("std_dev"), F.min("depth").alias("min_depth"), F.max("depth").alias("max_depth"))
 
 
+def windows_taken(lack: np.ndarray, bait_len: int) -> list[int]:
+    """Starts of the windows taken one by one where the sum of ``lack`` is greatest (first on ties), each lowering it by one a base.
+
+    A window taken changes the sums of its neighbours only, and the greatest is found among the maxima of blocks of STRETCH
+    starts, so a window costs STRETCH and a maximum a block, not the whole target. ``lack`` is changed.
+    """
+    n = len(lack) - bait_len + 1
+    if n <= 0:
+        return []
+
+    def sums(a, z):
+        run = np.r_[0, np.cumsum(lack[a : z - 1 + bait_len])]
+        return run[bait_len:] - run[:-bait_len]
+
+    score = np.r_[sums(0, n), np.full(-n % STRETCH, -1)]
+    blocks = score.reshape(-1, STRETCH)
+    best = blocks.max(1)
+    taken = []
+    while best[b := int(np.argmax(best))] > 0:
+        at = b * STRETCH + int(np.argmax(blocks[b]))
+        taken.append(at)
+        lack[at : at + bait_len] = np.maximum(0, lack[at : at + bait_len] - 1)
+        a, z = max(0, at - bait_len + 1), min(n, at + bait_len)
+        score[a:z] = sums(a, z)
+        touched = slice(a // STRETCH, (z - 1) // STRETCH + 1)
+        best[touched] = blocks[touched].max(1)
+    return taken
+
+
 def greedy_cover(segs: DataFrame, depth: int, bait_len: int = 80, target: str = "ref_id") -> DataFrame:
     """target, n, start (0-based): windows taken one by one where most depth is missing (first on ties), until none is.
 
-    Sequential within a target, parallel over targets; a target's work is bounded by its own length.
+    Sequential within a target, parallel over targets; a target's memory is bounded by its own length.
     """
     kind = dict(segs.dtypes)[target]
 
     def fill(tab):
-        import numpy as np
-        import pyarrow as pa
-
         tab = tab.sort_by("from")
         low, high, at_depth = (tab[c].to_numpy() for c in ("from", "to", "depth"))
-        lack = np.repeat(np.maximum(0, depth - at_depth), high - low)
-        starts = []
-        while len(lack) >= bait_len and lack.sum() > 0:
-            sums = np.r_[0, np.cumsum(lack)]
-            score = sums[bait_len:] - sums[:-bait_len]
-            at = int(np.argmax(score))
-            if score[at] <= 0:
-                break
-            starts.append(at)
-            lack[at : at + bait_len] = np.maximum(0, lack[at : at + bait_len] - 1)
+        starts = windows_taken(np.repeat(np.maximum(0, depth - at_depth), high - low), bait_len)
         return pa.table({target: pa.array([tab[target][0].as_py()] * len(starts), tab.schema.field(target).type), "n": pa.array(range(1, len(starts) + 1), pa.int64()), "start": pa.array(starts, pa.int64())})
 
     return segs.groupBy(target).applyInArrow(fill, f"`{target}` {kind}, n long, start long")

@@ -106,3 +106,25 @@ def test_probe_ids_and_oligos(spark):
     assert out == "GCTAATACGACTCACTATAGGG" + "ACGT" + "CGAAGAGCTT"
     with pytest.raises(ValueError):
         T.oligos(spark.createDataFrame([("acgt",)], "seq string"), "AAAA")
+
+
+def test_windows_are_taken_as_by_a_scan_of_the_whole_target():
+    import numpy as np
+
+    from moraine.operators.coverage import windows_taken
+
+    def scan(lack, k):
+        out = []
+        while len(lack) >= k:
+            score = np.convolve(lack, np.ones(k, np.int64), "valid")
+            at = int(np.argmax(score))
+            if score[at] <= 0:
+                break
+            out.append(at)
+            lack[at : at + k] = np.maximum(0, lack[at : at + k] - 1)
+        return out
+
+    rng = np.random.default_rng(3)
+    for n, k in ((0, 5), (4, 5), (5, 5), (300, 7), (4175, 80), (4176, 80), (9000, 80)):
+        lack = rng.integers(0, 4, n) * (rng.random(n) < 0.3)
+        assert windows_taken(lack.copy(), k) == scan(lack.copy(), k), (n, k)
