@@ -10,6 +10,9 @@ words as they are, so only lines that share a half (four hashes a line) go on. T
 hashed key for the line without each of the words in the other half. Equal keys are joined through the earliest line of each
 key, so a key shared by very many lines costs one row a line and no pairs; each partner found is then compared word by word.
 
+Disk. Hashes are counted before anything travels with them, rows that cannot meet a counted hash stay behind a sieve of bits,
+lines that go on are numbered in their order and sent as text, and a table goes when nothing reads it any more.
+
 Null and empty texts and an empty table pass unchanged. Repeated rows count as one document and stay alike. Other columns
 stay as they are, whatever their names.
 """
@@ -20,11 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from moraine.functions.sequence import let
-from moraine.llm.common import fresh, marked, marks, small, stored, table, workspace
+from moraine.llm.common import drop, fresh, marked, marks, small, stored, table, workspace
 from moraine.llm.spans import BLOCK
 
 MIN_WORDS, EDIT_WORDS = 1, 10
-
+HALVES = ("p0", "p1", "q0", "q1")
 
 BLANK = " \t\x0b\f\r"
 
@@ -39,16 +42,36 @@ def tidy(text: Column) -> Column:
 
 
 def with_halves(lines: DataFrame, edit_words: int) -> DataFrame:
-    """lines (line, n) with ks: (tag, hash) of the first and last m div 2 words, for m the number of words (tags 0, 1) and, of
-    lines that may be the longer one, one less (tags 2, 3; of an odd number of words these are the same halves)."""
+    """lines (line, n) with the hashes p0, p1 of the first and last n div 2 words and, of an even number of words that may be
+    the longer line's, q0, q1 of one word less; null where a line is too short."""
     n, h = F.col("n"), F.floor(F.col("n") / 2).cast("int")
     ends = lambda h: (F.call_function("substring_index", "line", F.lit(" "), h), F.call_function("substring_index", "line", F.lit(" "), -h))
     own = [F.when(n >= edit_words - 1, F.xxhash64(e)) for e in ends(h)]
     less = [F.when((n >= edit_words) & (n % 2 == 0), F.xxhash64(e)) for e in ends(h - 1)]
-    out = lines.withColumns({"p0": own[0], "p1": own[1], "q0": less[0], "q1": less[1]})
+    return lines.withColumns({"p0": own[0], "p1": own[1], "q0": less[0], "q1": less[1]})
+
+
+def halves(edit_words: int) -> Column:
+    """Of with_halves(): (tag, k) of the halves among n words (tags 0, 1) and, of lines that may be the longer one, among one less
+    (tags 2, 3; of an odd number of words these are the same halves)."""
+    n = F.col("n")
     key = lambda tag, m, p: F.struct(F.lit(tag).alias("tag"), F.xxhash64(m, F.lit(tag % 2), p).alias("k"))
     ks = [key(0, n, F.col("p0")), key(1, n, F.col("p1")), key(2, n - 1, F.coalesce("q0", "p0")), key(3, n - 1, F.coalesce("q1", "p1"))]
-    return out.withColumn("ks", F.when(n >= edit_words, F.array(*ks)).when(n == edit_words - 1, F.array(*ks[:2])))
+    return F.when(n >= edit_words, F.array(*ks)).when(n == edit_words - 1, F.array(*ks[:2]))
+
+
+def sieved(rows: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """rows less seven of eight, at least, whose hash ``name`` is not in that column of the stored keys; an exact join is to follow.
+
+    Eight keys share a number of 64 bits and set one each. All rows, if these numbers are too large to broadcast.
+    """
+    own, bits = fresh(rows, "_chunk", "_bits")
+    chunk = F.pmod(F.col(name), F.lit(max(1, keys.count() // 8)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(name, 58).cast("int"))
+    sieve = stored(keys.select(chunk.alias(own), bit.alias(bits)).groupBy(own).agg(F.bit_or(bits).alias(bits)), "sieve")
+    if (side := small(sieve)) is sieve:
+        return rows
+    return rows.withColumn(own, chunk).join(side, own).where(F.col(bits).bitwiseAND(bit) != 0).drop(own, bits)
 
 
 def running_xor(values: Column) -> Column:
@@ -67,13 +90,13 @@ def running_xor(values: Column) -> Column:
 
 
 def neighbourhood(lines: DataFrame, edit_words: int) -> DataFrame:
-    """(at, kind, key) of the variants of rows (at, n, w, tags): S one word replaced at a place, D one word left out, O the line itself.
+    """(id, kind, key) of the variants of rows (id, n, w, tags): S one word replaced at a place, D one word left out, O the line itself.
 
-    tags tells which halves are shared with a line of as many words, or of one word less; a variant is emitted only where
-    the edit can then be.
+    tags tells which halves are shared with a line of as many words, or of one word less, and (16) whether one is with a line of
+    one word more; a variant is emitted only where the edit can then be.
     """
-    d = lines.select("at", "n", "tags", F.transform("w", lambda w, j: F.xxhash64(w, j)).alias("h"), F.transform("w", lambda w, j: F.xxhash64(w, j - 1)).alias("s"))
-    d = d.select("at", "n", "tags", "h", "s", running_xor(F.col("h")).alias("ph"), running_xor(F.col("s")).alias("ps"))
+    d = lines.select("id", "n", "tags", F.transform("w", lambda w, j: F.xxhash64(w, j)).alias("h"), F.transform("w", lambda w, j: F.xxhash64(w, j - 1)).alias("s"))
+    d = d.select("id", "n", "tags", "h", "s", running_xor(F.col("h")).alias("ph"), running_xor(F.col("s")).alias("ps"))
     total, shifted = F.element_at("ph", -1), F.element_at("ps", -1)
 
     def open_(i, less):
@@ -87,9 +110,9 @@ def neighbourhood(lines: DataFrame, edit_words: int) -> DataFrame:
     without = lambda i: F.get("ph", i).bitwiseXOR(F.get("h", i)).bitwiseXOR(F.get("ps", i)).bitwiseXOR(shifted)
     left_out = F.transform(F.array_distinct(F.transform(F.filter(places, lambda i: open_(i, 1)), without)), lambda x: F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, x).alias("key")))
     itself = F.array(F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(1), F.col("n"), total).alias("key")))
-    d = d.withColumns({"replaced": F.when((F.col("tags").bitwiseAND(3) != 0) & (F.col("n") >= edit_words), replaced), "left": F.when(F.col("tags").bitwiseAND(12) != 0, left_out), "itself": itself})
+    d = d.withColumns({"replaced": F.when((F.col("tags").bitwiseAND(3) != 0) & (F.col("n") >= edit_words), replaced), "left": F.when(F.col("tags").bitwiseAND(12) != 0, left_out), "itself": F.when(F.col("tags").bitwiseAND(16) != 0, itself)})
     none = F.expr("cast(array() as array<struct<kind:int,key:bigint>>)")
-    return d.select("at", F.explode(F.concat(F.coalesce("replaced", none), F.coalesce("left", none), "itself")).alias("x")).select("at", "x.kind", "x.key")
+    return d.select("id", F.explode(F.concat(*(F.coalesce(c, none) for c in ("replaced", "left", "itself")))).alias("x")).select("id", "x.kind", "x.key")
 
 
 def within_one(a: Column, b: Column) -> Column:
@@ -111,27 +134,42 @@ def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, edit_words: int = EDIT_WORDS) -> DataFrame:
     """(at, near) of the lines to leave out; at is (did, no, th), near tells edits from exact copies."""
     lines = numbered(docs, doc_id, text).withColumn("n", F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "))) + 1).where((F.col("line") != "") & (F.col("n") >= min_words))
-    lines = with_halves(lines, max(2, edit_words))
-    lines = stored(lines.select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "ks"), "lines")
-    each = stored(lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("copies"), F.first("ks").alias("ks")), "each")
-    keyed = each.where("ks is not null").select("at", F.explode("ks").alias("x")).select("at", "x.tag", "x.k")
-    shared = stored(keyed.groupBy("k").agg(F.count_distinct("at").alias("c")).where("c > 1").select("k"), "halves")
-    suspects = keyed.join(shared, "k", "left_semi").groupBy("at").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("tag"))).alias("tags"))
-    suspects = stored(suspects.groupBy("at.did", "at.th").agg(F.collect_list(F.struct("at.no", "tags")).alias("nos")), "suspects")
+    edit_words = max(2, edit_words)
+    lines = with_halves(lines, edit_words).select(F.struct("did", "no", "th").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "n", *HALVES)
+    lines = stored(lines, "lines")
+    each = stored(lines.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("n", *HALVES))), "each")
+    copied = stored(each.where("copies > 1").select("h1", "h2", "at"), "copied")
+    chosen = stored(suspects(docs, doc_id, text, each, edit_words), "chosen")
+    drop(each)
+    keys = stored(neighbourhood(chosen.select("id", "n", "tags", F.split("line", " ").alias("w")), edit_words), "keys")
+    least = keys.groupBy("key").agg(*(F.min(F.when(F.col("kind") == k, F.col("id"))).alias(name) for k, name in enumerate("SDO")), F.count("*").alias("c")).where("c > 1").drop("c")
+    least = stored(least, "least")
+    partner = F.when(F.col("kind") == 0, F.col("S")).when(F.col("kind") == 1, F.col("O")).otherwise(F.col("D"))
+    pairs = stored(sieved(keys, "key", least).join(least, "key").select("id", partner.alias("to")).where(F.col("to") < F.col("id")).distinct(), "pairs")
+    drop(keys)
+    pairs = pairs.join(chosen.select("id", "at", F.col("line").alias("a")), "id").join(chosen.select(F.col("id").alias("to"), F.col("line").alias("b")), "to")
+    near = pairs.where(within_one(F.split("a", " "), F.split("b", " "))).select(F.xxhash64("a").alias("h1"), F.xxhash64(F.lit(1), "a").alias("h2"), "at")
+    goes = copied.withColumn("near", F.lit(False)).unionByName(near.withColumn("near", F.lit(True)))
+    goes = stored(goes.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("near").alias("near")), "goes")
+    return sieved(lines.select("at", "h1", "h2"), "h1", goes).join(goes, ["h1", "h2"]).where(F.col("near") | (F.col("at") != F.col("first"))).select("at", "near")
+
+
+def suspects(docs: DataFrame, doc_id: str, text: str, each: DataFrame, edit_words: int) -> DataFrame:
+    """(id, at, tags, n, line) of the lines that share a half with another one; ids are in the order of at."""
+    keyed = each.select("at", F.explode(halves(edit_words)).alias("x")).select("at", "x.tag", "x.k")
+    # a line of m words meets others of m words, and lines of m + 1 meet those of m; the latter do not meet by this hash
+    shared = keyed.groupBy("k").agg(F.count_if(F.col("tag") < 2).alias("own"), F.count("*").alias("c")).where("own > 1 or own = 1 and c > 1")
+    shared = stored(shared.select("k", (F.col("own") > 1).alias("same"), (F.col("c") > F.col("own")).alias("more")), "halves")
+    bit = F.call_function("shiftleft", F.lit(1), F.col("tag"))
+    tags = F.when(F.col("tag") < 2, F.when(F.col("same"), bit).otherwise(0).bitwiseOR(F.when(F.col("more"), 16).otherwise(0))).otherwise(bit)
+    found = sieved(keyed, "k", shared).join(shared, "k").groupBy("at").agg(F.bit_or(tags).alias("tags"))
+    found = stored(found.orderBy("at").withColumn("id", F.monotonically_increasing_id()), "suspects")
+    found = stored(found.groupBy("at.did", "at.th").agg(F.collect_list(F.struct("at.no", "tags", "id")).alias("nos")), "suspects")
     rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
-    rows = rows.join(small(suspects).alias("s"), F.col("d.did").eqNullSafe(F.col("s.did")) & (F.col("d.th") == F.col("s.th")))
+    rows = rows.join(small(found).alias("s"), F.col("d.did").eqNullSafe(F.col("s.did")) & (F.col("d.th") == F.col("s.th")))
     rows = rows.select("d.did", "d.th", F.split(tidy(F.col("t")), "\n", -1).alias("all"), "nos").select("did", "th", "all", F.explode("nos").alias("x"))
-    chosen = rows.select(F.struct("did", "x.no", "th").alias("at"), "x.tags", F.split(F.trim(F.get("all", F.col("x.no"))), " ").alias("w")).dropDuplicates(["at"])
-    chosen = stored(chosen.select("at", "tags", "w", F.size("w").alias("n")), "chosen")
-    keys = stored(neighbourhood(chosen, max(2, edit_words)), "keys")
-    least = keys.groupBy("key").agg(*(F.min(F.when(F.col("kind") == k, F.col("at"))).alias(name) for k, name in enumerate("SDO")), F.count("*").alias("c")).where("c > 1").drop("c")
-    partner = F.when(F.col("kind") == 0, F.col("S")).when(F.col("kind") == 1, F.col("O")).otherwise(F.col("D"))
-    pairs = keys.join(stored(least, "least"), "key").select("at", partner.alias("to")).where(F.col("to") < F.col("at")).distinct()
-    pairs = pairs.join(chosen.select("at", F.col("w").alias("a")), "at").join(chosen.select(F.col("at").alias("to"), F.col("w").alias("b")), "to")
-    near = stored(pairs.where(within_one(F.col("a"), F.col("b"))).select("at").distinct(), "near")
-    goes = each.select("h1", "h2", "at", "copies").join(near.withColumn("near", F.lit(True)), "at", "left").where("near or copies > 1")
-    goes = stored(goes.select("h1", "h2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "goes")
-    return lines.select("at", "h1", "h2").join(goes, ["h1", "h2"]).where(F.col("near") | (F.col("at") != F.col("first"))).select("at", "near")
+    rows = rows.select("x.id", F.struct("did", "x.no", "th").alias("at"), "x.tags", F.trim(F.get("all", F.col("x.no"))).alias("line")).dropDuplicates(["id"])
+    return rows.select("id", "at", "tags", F.size(F.split("line", " ")).alias("n"), "line")
 
 
 def dropped(docs: DataFrame, doc_id: str, text: str, **how) -> DataFrame:

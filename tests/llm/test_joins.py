@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import pathlib
 import random
 import re
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from moraine.llm import decontaminate, embeddings, jaccard, linededup
-from moraine.llm.common import components
+from moraine.llm.common import components, stored
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -175,6 +176,42 @@ def test_lines_query_and_empty(spark, small_sf, empty_docs, hard_docs):
     assert linededup.dedup_lines(hard_docs).count() == hard_docs.count()
 
 
+def shuffled(spark):
+    """Bytes that each stage so far has written to shuffles, by stage."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    found = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (found.apply(i) for i in range(found.size()))}
+
+
+def test_lines_disk(spark, small_sf):
+    """What is shuffled stays under twice the input, also where the planner broadcasts nothing by itself."""
+    size = sum(f.stat().st_size for f in pathlib.Path(small_sf).glob("documents.parquet/**/*") if f.is_file()) or pathlib.Path(small_sf, "documents.parquet").stat().st_size
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = shuffled(spark)
+        linededup.query(spark, small_sf).write.format("noop").mode("overwrite").save()
+        written = sum(v for k, v in shuffled(spark).items() if k not in before)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert 0 < written < 2 * size
+
+
+def test_lines_where_nothing_is_broadcast(spark, small_sf, monkeypatch):
+    monkeypatch.setattr(linededup, "small", lambda df: df)
+    docs = sorted(tuple(r) for r in spark.read.parquet(f"{small_sf}/documents.parquet").select("doc_id", "text").collect())
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in linededup.query(spark, small_sf).collect()} == lines_brute(docs)
+
+
+def test_sieve_passes_all_keys(spark):
+    rows = spark.range(4000).select(F.xxhash64("id").alias("k"), F.col("id").alias("_bits"), F.lit("x").alias("_chunk"))
+    keys = stored(rows.where("_bits % 5 = 0").select("k"), "keys")
+    got = {r._bits for r in linededup.sieved(rows, "k", keys).collect()}
+    assert set(range(0, 4000, 5)) <= got and len(got) < 2000
+    assert linededup.sieved(rows, "k", keys).columns == rows.columns
+    assert linededup.sieved(rows, "k", stored(keys.limit(0), "keys")).count() == 0
+
+
 def leaks_brute(docs, bench, n=10):
     find = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+").findall
     wins = collections.defaultdict(set)
