@@ -165,8 +165,10 @@ def suspects(docs: DataFrame, doc_id: str, text: str, each: DataFrame, edit_word
     found = sieved(keyed, "k", shared).join(shared, "k").groupBy("at").agg(F.bit_or(tags).alias("tags"))
     found = stored(found.orderBy("at").withColumn("id", F.monotonically_increasing_id()), "suspects")
     found = stored(found.groupBy("at.did", "at.th").agg(F.collect_list(F.struct("at.no", "tags", "id")).alias("nos")), "suspects")
-    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t")).alias("d")
-    rows = rows.join(small(found).alias("s"), F.col("d.did").eqNullSafe(F.col("s.did")) & (F.col("d.th") == F.col("s.th")))
+    rows = docs.select(F.col(doc_id).alias("did"), F.xxhash64(text).alias("th"), F.col(text).alias("t"))
+    if (side := small(found)) is found:
+        rows = sieved(rows, "th", found)
+    rows = rows.alias("d").join(side.alias("s"), F.col("d.did").eqNullSafe(F.col("s.did")) & (F.col("d.th") == F.col("s.th")))
     rows = rows.select("d.did", "d.th", F.split(tidy(F.col("t")), "\n", -1).alias("all"), "nos").select("did", "th", "all", F.explode("nos").alias("x"))
     rows = rows.select("x.id", F.struct("did", "x.no", "th").alias("at"), "x.tags", F.trim(F.get("all", F.col("x.no"))).alias("line")).dropDuplicates(["id"])
     return rows.select("id", "at", "tags", F.size(F.split("line", " ")).alias("n"), "line")

@@ -183,17 +183,21 @@ def shuffled(spark):
     return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (found.apply(i) for i in range(found.size()))}
 
 
-def test_lines_disk(spark, small_sf):
-    """What is shuffled stays under twice the input, also where the planner broadcasts nothing by itself."""
-    size = sum(f.stat().st_size for f in pathlib.Path(small_sf).glob("documents.parquet/**/*") if f.is_file()) or pathlib.Path(small_sf, "documents.parquet").stat().st_size
+@pytest.fixture
+def unplanned(spark):
+    """The planner broadcasts nothing by itself."""
     was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        before = shuffled(spark)
-        linededup.query(spark, small_sf).write.format("noop").mode("overwrite").save()
-        written = sum(v for k, v in shuffled(spark).items() if k not in before)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_lines_disk(spark, small_sf, unplanned):
+    """What is shuffled stays under twice the input, also where the planner broadcasts nothing by itself."""
+    size = sum(f.stat().st_size for f in pathlib.Path(small_sf).glob("documents.parquet/**/*") if f.is_file()) or pathlib.Path(small_sf, "documents.parquet").stat().st_size
+    before = shuffled(spark)
+    linededup.query(spark, small_sf).write.format("noop").mode("overwrite").save()
+    written = sum(v for k, v in shuffled(spark).items() if k not in before)
     assert 0 < written < 2 * size
 
 
@@ -203,6 +207,20 @@ def test_lines_where_nothing_is_broadcast(spark, small_sf, monkeypatch):
     assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in linededup.query(spark, small_sf).collect()} == lines_brute(docs)
 
 
+def test_lines_whose_documents_are_too_many_to_broadcast(spark, unplanned, monkeypatch):
+    """Only texts that hold lines under suspicion are shuffled."""
+    monkeypatch.setattr(linededup, "small", lambda df: F.broadcast(df) if "_bits" in df.columns else df)
+    rng = random.Random(4)
+    texts = ["\n".join(" ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(60)) for _ in range(20)) for _ in range(200)]
+    texts += [texts[3].split("\n")[5].replace(" ", " more ", 1), texts[150].rpartition(" ")[0] + " end", texts[7]]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(200, texts[200])], "doc_id long, text string")
+    before = shuffled(spark)
+    gone = {r.did: (r.nos, r.near) for r in linededup.dropped(df, "doc_id", "text").collect()}
+    written = sum(v for k, v in shuffled(spark).items() if k not in before)
+    assert gone == {200: ([0], 1), 201: (list(range(20)), 1), 202: (list(range(20)), 0)}
+    assert written < sum(map(len, texts)) / 2
+
+
 def test_sieve_passes_all_keys(spark):
     rows = spark.range(4000).select(F.xxhash64("id").alias("k"), F.col("id").alias("_bits"), F.lit("x").alias("_chunk"))
     keys = stored(rows.where("_bits % 5 = 0").select("k"), "keys")
